@@ -213,7 +213,8 @@ def map_values(df: DataFrame, value: str, entries: list, parts: bool = False, ou
     is replaced.
     """
     base = df.drop(out)
-    at = base.columns.index(value)
+    columns = base.columns
+    at = columns.index(value)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mapper = Mapper(entries, parts, aliases)
@@ -222,7 +223,7 @@ def map_values(df: DataFrame, value: str, entries: list, parts: bool = False, ou
             coded = batch.column(at).cast(pa.string()).dictionary_encode()
             ids = pa.array([find(v) for v in coded.dictionary.to_pylist()], pa.int64())
             got = pc.fill_null(ids.take(coded.indices), 0) if len(ids) else pa.array([0] * batch.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, got], names=[*base.columns, out])
+            yield pa.RecordBatch.from_arrays([*batch.columns, got], names=[*columns, out])
 
     return base.mapInArrow(run, base.select("*", F.lit(0).cast("long").alias(out)).schema)
 

@@ -84,7 +84,7 @@ def plan_mix(sized: DataFrame, targets: DataFrame, key: str, source: str, total:
     most = {w[source]: int(w["most"] or 0) for w in want}
     if total is None:
         total = min((most[s] * size[s]["tokens"] / (x / all_shares) for s, x in held.items() if x > 0), default=0.0)
-    rates = {s: min(most[s], total * x / all_shares / size[s]["tokens"]) for s, x in held.items() if x > 0}
+    rates = {s: min(float(most[s]), total * x / all_shares / size[s]["tokens"]) for s, x in held.items() if x > 0}
     cuts = {w[source]: tails(rates.get(w[source], 0.0), most[w[source]]) for w in want}
     seeds = dict.fromkeys(cuts, 0)
     if rates:
