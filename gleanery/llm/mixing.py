@@ -12,7 +12,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.llm.tokens import count_tokens
@@ -134,5 +134,5 @@ def shares(sized: DataFrame, plan: Sequence[Plan], key: str, source: str) -> Dat
         f"`{source}` string, target_share double, max_repeats int, documents long, tokens long, rate double",
     )
     out = listed.join(got, source, "left").fillna(0, ["mixed_documents", "mixed_tokens", "most_copies"])
-    whole = out.agg(F.sum("mixed_tokens").alias("__whole"))
-    return out.join(F.broadcast(whole)).withColumn("reached_share", F.coalesce(F.try_divide(F.col("mixed_tokens"), F.col("__whole")), F.lit(0.0))).drop("__whole")
+    whole = F.sum("mixed_tokens").over(Window.partitionBy(F.lit(0)))  # over at most MOST_SOURCES rows
+    return out.withColumn("reached_share", F.coalesce(F.try_divide(F.col("mixed_tokens"), whole), F.lit(0.0)))
