@@ -57,8 +57,8 @@ def preferred_spelling(df: DataFrame, column: str) -> DataFrame:
     before grouping, so a name that fills a third of the table is one row per spelling.
     """
     clean = collapse(F.col(column))
-    per = df.where(clean != "").groupBy(F.lower(clean).alias("key"), clean.alias("spelling")).agg(F.count(F.lit(1)).alias("n"))
-    return per.groupBy("key").agg(F.min_by("spelling", F.struct(-F.col("n"), F.col("spelling"))).alias("spelling"), F.count(F.lit(1)).alias("n_spellings"), F.sum("n").alias("n_rows"))
+    per = df.where(clean != "").groupBy(F.lower(clean).alias("key"), clean.alias("spelling")).agg(F.count(F.lit(1)).alias("__n"))
+    return per.groupBy("key").agg(F.min_by("spelling", F.struct(-F.col("__n"), F.col("spelling"))).alias("spelling"), F.count(F.lit(1)).alias("n_spellings"), F.sum("__n").alias("n_rows"))
 
 
 def equivalence_key(column: Column) -> Column:

@@ -45,12 +45,12 @@ def cross_counts(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def key_checks(df: DataFrame, key: str) -> DataFrame:
     """``n_rows, distinct_keys, repeated_keys, null_keys, least, greatest`` of a key."""
-    per = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    per = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     return per.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("n_rows"),
         F.count(key).alias("distinct_keys"),
-        F.count_if(F.col(key).isNotNull() & (F.col("n") > 1)).alias("repeated_keys"),
-        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
+        F.count_if(F.col(key).isNotNull() & (F.col("__n") > 1)).alias("repeated_keys"),
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("__n"))), F.lit(0)).alias("null_keys"),
         F.min(key).alias("least"),
         F.max(key).alias("greatest"),
     )

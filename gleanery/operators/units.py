@@ -168,7 +168,8 @@ def read_amounts(text: str | None, currency: str | None = None, period: str | No
         return _NONE
     if n == 2:  # a unit after the second amount holds for the first as well
         own[0] = own[0] or own[1]
-        own[0].setdefault("money", own[1].get("money")) if own[1].get("money") else None
+        if own[1].get("money") and own[1].get("scale"):
+            own[0].setdefault("money", own[1]["money"])
         if "money" in own[0] and "money" not in own[1] and own[1].get("scale") is None:
             own[1] = own[0]
     out = []

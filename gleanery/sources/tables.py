@@ -57,7 +57,8 @@ def numbered(spark: SparkSession, path: str) -> DataFrame:
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(good rows, broken lines): a torn last line is kept apart, never dropped."""
     full = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    rows = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
+    parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    rows = spark.read.text(path).where("trim(value) <> ''").select(parsed.alias("r")).select("r.*")
     return rows.where("_corrupt is null").drop("_corrupt"), rows.where("_corrupt is not null").select(F.col("_corrupt").alias("line"))
 
 

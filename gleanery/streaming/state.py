@@ -17,8 +17,8 @@ DISCOVERY = "first_seen timestamp, last_seen timestamp, seen_count long, last_ba
 def discovery(events: DataFrame, key: str, at: str, batch: str) -> DataFrame:
     """``key, first_seen, last_seen, seen_count, active``: a batch counts once per key; once seen a
     key stays active. Rows without key are ignored."""
-    per = events.where(F.col(key).isNotNull()).groupBy(key, batch).agg(F.min(at).alias("a"), F.max(at).alias("b"))
-    return per.groupBy(key).agg(F.min("a").alias("first_seen"), F.max("b").alias("last_seen"), F.count(F.lit(1)).alias("seen_count"), F.lit(True).alias("active"))
+    per = events.where(F.col(key).isNotNull()).groupBy(key, batch).agg(F.min(at).alias("__a"), F.max(at).alias("__b"))
+    return per.groupBy(key).agg(F.min("__a").alias("first_seen"), F.max("__b").alias("last_seen"), F.count(F.lit(1)).alias("seen_count"), F.lit(True).alias("active"))
 
 
 def content_changes(events: DataFrame, key: str, at: str, content: str, tie: str) -> DataFrame:
@@ -49,8 +49,8 @@ def failure_runs(events: DataFrame, run: str, order: str, failed: str) -> DataFr
     """``run, n_events, failures, longest_failure_run, failure_rate`` for the rules that end a run."""
     w = Window.partitionBy(run).orderBy(order)
     gaps = events.withColumn("__ok", F.sum(F.when(F.col(failed), 0).otherwise(1)).over(w))
-    blocks = gaps.groupBy(run, "__ok").agg(F.count_if(F.col(failed)).alias("f"), F.count(F.lit(1)).alias("n"))
-    return blocks.groupBy(run).agg(F.sum("n").alias("n_events"), F.sum("f").alias("failures"), F.max("f").alias("longest_failure_run")).withColumn("failure_rate", F.col("failures") / F.col("n_events"))
+    blocks = gaps.groupBy(run, "__ok").agg(F.count_if(F.col(failed)).alias("__f"), F.count(F.lit(1)).alias("__n"))
+    return blocks.groupBy(run).agg(F.sum("__n").alias("n_events"), F.sum("__f").alias("failures"), F.max("__f").alias("longest_failure_run")).withColumn("failure_rate", F.col("failures") / F.col("n_events"))
 
 
 class _Changes(StatefulProcessor):
