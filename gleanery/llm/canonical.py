@@ -84,8 +84,18 @@ class Mapper:
             score = (min(heads[lang, h], tails[lang, t]), heads[lang, h] * tails[lang, t])
             if (i, lang) not in best or score > best[i, lang][0]:
                 best[i, lang] = (score, h, t)
-        # The half with fewer different values is the role; halves of both languages are joined by entry.
-        by_lang = {lang: [len({b[1] for (_, g), b in best.items() if g == lang}), len({b[2] for (_, g), b in best.items() if g == lang})] for lang in {g for _, g in best}}
+        # In the first language the half with fewer different values is the role; in the others it is
+        # the half that goes with the same roles.
+        def spread(lang: int, half: int, along: dict[int, str] | None) -> int:
+            return len({(along.get(i) if along else None, b[half]) for (i, g), b in best.items() if g == lang})
+
+        langs = sorted({g for _, g in best})
+        head_is_role: dict[int, bool] = {}
+        roles: dict[int, str] | None = None
+        for lang in langs:
+            head_is_role[lang] = spread(lang, 1, roles) <= spread(lang, 2, roles)
+            if roles is None:
+                roles = {i: b[1 if head_is_role[lang] else 2] for (i, g), b in best.items() if g == lang}
         role_of: dict[str, int] = {}
         field_of: dict[str, int] = {}
         for i, names, _ in entries:
@@ -93,7 +103,7 @@ class Mapper:
             for lang in range(len(names)):
                 if (i, lang) in best:
                     _, h, t = best[i, lang]
-                    pair[lang] = (h, t) if by_lang[lang][0] <= by_lang[lang][1] else (t, h)
+                    pair[lang] = (h, t) if head_is_role[lang] else (t, h)
             if not pair:
                 continue
             r = next((role_of[p[0]] for p in pair.values() if p[0] in role_of), i)

@@ -91,6 +91,9 @@ def undo(word: str, chain: str) -> str | None:
         return None
     if got == word or any(unicodedata.category(c) in ("Cc", "Cn", "Co", "Cs") for c in got) or "�" in got:
         return None
+    letters = [c for c in got if c.isalpha()]
+    if any(c.isascii() for c in letters) and not all(c.isascii() or unicodedata.name(c, "").startswith("LATIN") for c in letters):
+        return None  # no word mixes scripts: an accident, as with an apostrophe before an accented letter
     return got
 
 
