@@ -154,9 +154,11 @@ def candidate_pairs(keys: DataFrame, column: str, shingler, bands: int, rows: in
                     names=["v", "band"],
                 )
 
-    banded = keys.select(F.col(column).alias("v")).mapInArrow(run, "v string, band long")
+    # Hashing and verifying cost far more than their bytes tell, so both get a fixed number of tasks.
+    tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    banded = keys.select(F.col(column).alias("v")).repartition(tasks, "v").mapInArrow(run, "v string, band long")
     a, b = banded.withColumnRenamed("v", "a"), banded.withColumnRenamed("v", "b")
-    return a.join(b, "band").where("a < b").select("a", "b").distinct()
+    return a.join(b, "band").where("a < b").select("a", "b").repartition(tasks, "a", "b").distinct()
 
 
 def _token_hash(token: str) -> np.int64:
