@@ -51,6 +51,7 @@ PLACEHOLDERS = set(
 )
 _BUSINESS = {alias: line for line, aliases in BUSINESS.items() for alias in aliases.split()}
 _LEGAL = set(LEGAL)
+_HEADS, _TAILS = ({k: [a for a in _BUSINESS if len(a) >= 7 and f(a) == k] for k in map(f, _BUSINESS)} for f in (lambda a: a[:3], lambda a: a[-3:]))
 _LONGEST = 5
 
 
@@ -86,7 +87,9 @@ def _near(part: str) -> str:
     """The line of business one typing error away; only for long spellings."""
     if len(part) < 7:
         return ""
-    return next((line for alias, line in _BUSINESS.items() if len(alias) >= 7 and edits(part, alias, 1) <= 1), "")
+    # One error leaves the first or the last three letters as they are.
+    likely = dict.fromkeys([*_HEADS.get(part[:3], ()), *_TAILS.get(part[-3:], ())])
+    return next((_BUSINESS[alias] for alias in likely if edits(part, alias, 1) <= 1), "")
 
 
 def monge_elkan(a: Sequence[str], b: Sequence[str]) -> float:
@@ -233,7 +236,8 @@ def link_names(names: DataFrame, column: str = "name", weight: str | None = None
                 names=["name", "n", "proper", "line"],
             )
 
-    parsed = cut(spelled.mapInArrow(run, "name string, n long, proper string, line string"))
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # counted first: a hot name is one row
+    parsed = cut(spelled.repartition(tasks, "name").mapInArrow(run, "name string, n long, proper string, line string"))
     spaced = parsed.withColumn("key", F.regexp_replace("proper", " ", ""))
     # One spaced form per glued key: the one with most words, so that glued spellings are compared by words.
     keys = cut(
