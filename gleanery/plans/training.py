@@ -48,7 +48,7 @@ def p5_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p5_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The expressions induced for every raw column, with their coverage in each load and elsewhere."""
     rows, _ = _loads(spark, sf_dir)
-    return quality.expression_coverage(cut(quality.value_counts(rows, "load_id", RAW_COLUMNS))).withColumnRenamed("load", "load_id")
+    return quality.expression_coverage(cut(quality.shape_values(quality.value_counts(rows, "load_id", RAW_COLUMNS)))).withColumnRenamed("load", "load_id")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
