@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,3 +54,8 @@ def precision_recall(df: DataFrame, stratum: str, found: str, meant: str) -> Dat
     )
     p, r = F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")), F.try_divide(F.col("tp"), F.col("tp") + F.col("fn"))
     return sums.withColumn("precision", p).withColumn("recall", r).withColumn("f1", F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")))
+
+
+def constraints(violations: Mapping[str, DataFrame]) -> DataFrame:
+    """``rule, breaks``: how many rows each rule's query of violations returns."""
+    return reduce(DataFrame.unionByName, [df.agg(F.lit(rule).alias("rule"), F.count(F.lit(1)).alias("breaks")) for rule, df in violations.items()])

@@ -80,3 +80,19 @@ def salary_shape(column: Column) -> Column:
         .when(t.rlike("^(từ|trên|dưới|đến|tới|lên đến|upto|from|tối thiểu|tối đa|<=|>=)"), "bound")
         .otherwise("number")
     )
+
+
+def salary_status(column: Column) -> Column:
+    """Whether an amount can be read: missing, negotiable, needs_review (alternatives),
+    currency_conflict, missing_currency_or_scale or readable."""
+    t, shape = F.lower(collapse(column)), salary_shape(column)
+    dollar, dong = t.rlike(r"usd|\$|đô"), t.rlike("vnd|vnđ|đồng|₫")
+    return (
+        F.when((shape == "missing") | t.isin("đang cập nhật", "chưa cập nhật"), "missing")
+        .when(shape == "negotiable", "negotiable")
+        .when(shape == "other", "missing")
+        .when(F.contains(t, F.lit("hoặc")), "needs_review")
+        .when(dollar & dong, "currency_conflict")
+        .when(~t.rlike(r"usd|\$|đô|vnd|vnđ|đồng|₫|[0-9]đ|triệu|trieu|tr|nghìn|ngàn|[0-9]k|[0-9]m"), "missing_currency_or_scale")
+        .otherwise("readable")
+    )

@@ -95,3 +95,20 @@ def append_and_replace(base: DataFrame, new: DataFrame, key: str, scope: str) ->
     kept = base.where(f"not coalesce({scope}, false)").unionByName(inside.join(fresh.select(key), key, "left_anti"))
     known = base.where(f"not coalesce({scope}, false)").select(key)
     return kept.unionByName(fresh.join(known, key, "left_anti"))
+
+
+def override(df: DataFrame, key: str, column: str, overrides: DataFrame) -> DataFrame:
+    """``df`` with ``column`` replaced where ``overrides(key, expected, value)`` names the row.
+
+    An override whose expected value no longer stands in the row is an error.
+    """
+    joined = df.join(overrides.select(F.col(key).alias("__k"), F.col("expected").alias("__e"), F.col("value").alias("__v"), F.lit(True).alias("__hit")), F.col(key) == F.col("__k"), "left")
+    stale = F.raise_error(F.concat(F.lit("override of a changed row: "), F.col("__k").cast("string"))).cast("string")
+    value = F.when(F.col("__hit").isNull(), F.col(column)).when(F.col("__e").eqNullSafe(F.col(column)), F.col("__v")).otherwise(stale)
+    return joined.withColumn(column, value).drop("__k", "__e", "__v", "__hit")
+
+
+def merge_reviews(auto: DataFrame, accepted: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Automatic and accepted rows without the rejected ones, each once; an acceptance wins."""
+    refused = rejected.distinct().join(accepted.distinct(), rejected.columns, "left_anti")
+    return auto.unionByName(accepted).distinct().join(refused, auto.columns, "left_anti")

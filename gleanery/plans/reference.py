@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gleanery.functions import text as tx
 from gleanery.operators import aggregates, grammar, identity, joins, labels, matching, profiling, publish, sampling
 from gleanery.plans.training import RAW_COLUMNS
-from gleanery.session import shared_dir, table
+from gleanery.session import shared_dir, small, table
 from gleanery.sources import html, tables
 from gleanery.streaming import state
 
@@ -775,3 +775,118 @@ def l1_listing_links(spark, d):
     link = F.concat(F.lit('<a href="'), F.col("canonical_url"), F.lit('">x</a>'))
     pages = e.select(F.col("probe_id").alias("page"), F.concat(F.lit("<html>"), link, link, F.lit("</html>")).alias("html"))
     return html.listing(pages, "page", "html", r"-([0-9]+)$")
+
+
+# --- further rules -----------------------------------------------------------------------------
+
+
+@query(
+    f"""WITH s AS (SELECT id, lower({_strip_sql('salary')}) AS t FROM source_rows), k AS (SELECT id, t, {_SHAPE} AS shape FROM s)
+SELECT id, CASE WHEN shape = 'missing' OR t IN ('đang cập nhật', 'chưa cập nhật') THEN 'missing' WHEN shape = 'negotiable' THEN 'negotiable' WHEN shape = 'other' THEN 'missing'
+  WHEN contains(t, 'hoặc') THEN 'needs_review' WHEN regexp_matches(t, 'usd|\\$|đô') AND regexp_matches(t, 'vnd|vnđ|đồng|₫') THEN 'currency_conflict'
+  WHEN NOT regexp_matches(t, 'usd|\\$|đô|vnd|vnđ|đồng|₫|[0-9]đ|triệu|trieu|tr|nghìn|ngàn|[0-9]k|[0-9]m') THEN 'missing_currency_or_scale' ELSE 'readable' END AS status FROM k"""
+)
+def d5_salary_status(spark, d):
+    return table(spark, d, "source_rows").select("id", grammar.salary_status(F.col("salary")).alias("status"))
+
+
+@query("SELECT a.id, CASE WHEN o.id IS NULL THEN a.salary ELSE 'override:' || o.salary END AS salary FROM salary_audit a LEFT JOIN (SELECT id, salary FROM salary_audit WHERE currency = '$') o ON a.id = o.id")
+def d7_keyed_override(spark, d):
+    a = table(spark, d, "salary_audit").select("id", "salary")
+    o = table(spark, d, "salary_audit").where("currency = '$'").select("id", F.col("salary").alias("expected"), F.concat(F.lit("override:"), "salary").alias("value"))
+    return joins.override(a, "id", "salary", o)
+
+
+@query(
+    "SELECT 'jobs.id unique' AS rule, (SELECT count(*) FROM (SELECT id FROM jobs GROUP BY id HAVING count(*) > 1)) AS breaks UNION ALL "
+    "SELECT 'jobs.salary ordered', (SELECT count(*) FROM jobs WHERE salary_min > salary_max) UNION ALL SELECT 'jobs.id in core_rows', (SELECT count(*) FROM jobs j WHERE j.id NOT IN (SELECT id FROM core_rows)) UNION ALL "
+    "SELECT 'jobs.year known', (SELECT count(*) FROM jobs WHERE year IS NULL OR year NOT BETWEEN 2022 AND 2026)"
+)
+def e7_constraints(spark, d):
+    jobs, core = table(spark, d, "jobs"), table(spark, d, "core_rows")
+    return aggregates.constraints(
+        {
+            "jobs.id unique": jobs.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1"),
+            "jobs.salary ordered": jobs.where("salary_min > salary_max"),
+            "jobs.id in core_rows": joins.orphans(jobs.select("id"), "id", core, "id"),
+            "jobs.year known": jobs.where("year is null or year not between 2022 and 2026"),
+        }
+    )
+
+
+@query(
+    f"SELECT id, CASE WHEN requirements IS NULL THEN 'missing' WHEN {_strip_sql('requirements')} = '' OR lower({_strip_sql('requirements')}) IN ('.', 'không', 'khác', 'n/a') THEN 'unusable' "
+    "WHEN job_industry IS NULL OR job_industry NOT IN (SELECT label_vi FROM ref_values WHERE field_name = 'job_industry') THEN 'out_of_scope' ELSE 'match' END AS route FROM source_rows"
+)
+def e10_routing(spark, d):
+    t = F.lower(tx.collapse(F.col("requirements")))
+    scope = table(spark, d, "ref_values").where("field_name = 'job_industry'").select(F.col("label_vi").alias("job_industry")).distinct().withColumn("listed", F.lit(True))
+    rows = table(spark, d, "source_rows").select("id", "requirements", "job_industry").join(small(scope), "job_industry", "left")
+    route = F.when(F.col("requirements").isNull(), "missing").when(t.isin("", ".", "không", "khác", "n/a"), "unusable").when(F.col("listed").isNull(), "out_of_scope").otherwise("match")
+    return rows.select("id", route.alias("route"))
+
+
+@query("SELECT flag, place, id FROM (SELECT flag, id, row_number() OVER (PARTITION BY flag ORDER BY id) AS place FROM (SELECT unnest(category_tags) AS flag, probe_id AS id FROM probe_records)) WHERE place <= 3")
+def h2_examples_per_flag(spark, d):
+    flags = table(spark, d, "probe_records").select(F.explode("category_tags").alias("flag"), F.col("probe_id").alias("id"))
+    return sampling.first_per_group(flags, ["flag"], ["id"], 3).select("flag", "place", "id")
+
+
+@query(f"SELECT id FROM source_rows WHERE load_id = 5 AND sha256(coalesce({_strip_sql('job_title')}, '')) NOT IN (SELECT sha256(coalesce({_strip_sql('job_title')}, '')) FROM source_rows WHERE load_id = 1)")
+def h5_exclude_sampled(spark, d):
+    key = F.sha2(F.coalesce(tx.collapse(F.col("job_title")), F.lit("")), 256)
+    s = table(spark, d, "source_rows")
+    return sampling.without(s.where("load_id = 5"), key, s.where("load_id = 1").select(key.alias("k")), "k").select("id")
+
+
+@query(
+    "WITH p AS (SELECT probe_id AS k, unnest(category_tags) AS code FROM probe_records), q AS (SELECT probe_id AS k, unnest(specialization_tags) AS code FROM probe_records), "
+    "r AS (SELECT probe_id AS k, company_industry AS code FROM probe_records WHERE company_industry IS NOT NULL) "
+    "SELECT DISTINCT k, code FROM (SELECT * FROM p UNION SELECT * FROM q) x WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.k = x.k AND r.code = x.code AND NOT EXISTS (SELECT 1 FROM q WHERE q.k = r.k AND q.code = r.code))"
+)
+def i3_merge_with_reviews(spark, d):
+    """Automatic pairs and accepted ones without the rejected; an acceptance wins over a rejection."""
+    e = table(spark, d, "probe_records").withColumnRenamed("probe_id", "k")
+    auto, accepted = (e.select("k", F.explode(c).alias("code")) for c in ("category_tags", "specialization_tags"))
+    rejected = e.where("company_industry is not null").select("k", F.col("company_industry").alias("code"))
+    return joins.merge_reviews(auto, accepted, rejected)
+
+
+@query("SELECT (SELECT count(*) FROM (SELECT id FROM core_rows EXCEPT SELECT id FROM salary_audit)) AS only_a, (SELECT count(*) FROM (SELECT id FROM salary_audit EXCEPT SELECT id FROM core_rows)) AS only_b")
+def i5_same_population(spark, d):
+    a, b = table(spark, d, "core_rows").select("id").distinct(), table(spark, d, "salary_audit").select("id").distinct()
+    n = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    return joins.side_by_side(n(a.join(b, "id", "left_anti"), "only_a"), n(b.join(a, "id", "left_anti"), "only_b"))
+
+
+@query("SELECT id AS k, CAST(year AS VARCHAR) AS fact FROM source_rows WHERE load_id <= 2")
+def j4_registration(spark, d):
+    s = table(spark, d, "source_rows").select(F.col("id").alias("k"), F.col("year").cast("string").alias("fact"), "load_id")
+    first = s.where("load_id = 1").drop("load_id")
+    return publish.register(first, s.where("load_id <= 2").drop("load_id"), "k", ["fact"])
+
+
+@query(
+    "WITH c AS (SELECT year, count(*) AS n, sum(CASE WHEN salary_min IS NOT NULL THEN 1 ELSE 0 END) AS filled FROM jobs WHERE year IS NOT NULL GROUP BY 1) SELECT year, n, filled / n AS share, n >= 50 AND filled / n >= 0.2 AS passes FROM c"
+)
+def j8_quality_gate(spark, d):
+    c = table(spark, d, "jobs").where("year is not null").groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.count("salary_min").alias("filled"))
+    share = F.col("filled") / F.col("n")
+    return c.select("year", "n", share.alias("share"), ((F.col("n") >= 50) & (share >= 0.2)).alias("passes"))
+
+
+@query("SELECT probe_id, company_address IS NOT NULL AND contains(detailed_work_address, company_address) AS quoted FROM probe_records WHERE detailed_work_address IS NOT NULL")
+def j9_quoted_evidence(spark, d):
+    """Whether one field quotes another exactly (an evidence check, no training-data query)."""
+    e = table(spark, d, "probe_records").where("detailed_work_address is not null")
+    return e.select("probe_id", F.coalesce(F.contains("detailed_work_address", "company_address"), F.lit(False)).alias("quoted"))
+
+
+@query()
+def m_stream_windows(spark, d):
+    """The hourly windows of the event stream, run to its end."""
+    name, folder = f"windows_{uuid.uuid4().hex}", f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    stream = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
+    q = state.stream_windows(stream, "ts", "event_type").writeStream.outputMode("append").format("parquet").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start(f"{folder}/{name}")
+    q.awaitTermination()
+    return spark.read.schema("window_start timestamp, event_type string, n long").parquet(f"{folder}/{name}")
