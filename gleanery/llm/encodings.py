@@ -3,15 +3,17 @@
 Clean sentences of the corpus are garbled through every known chain of encodings; a multinomial
 classifier on hashed byte bigrams of words learns which chain made a word. In a document each
 word that carries signs beyond ASCII is classified, the predicted chain is inverted, and only a
-strict decoding counts as restored.
+strict decoding counts as restored. Only the weights come from a sample; which words are known
+is read from the clean sentences of all documents.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from functools import lru_cache
 
 import numpy as np
@@ -33,6 +35,8 @@ _TO_TCVN = dict(zip(TCVN_MEANT, TCVN_SHOWN)) | {c.upper(): s for c, s in zip(TCV
 _FROM_TCVN = dict(zip(TCVN_SHOWN, TCVN_MEANT))
 _LEGACY_SIGN = re.compile(r"(?<=[A-Za-z])[µ¸¶¹¨»¾¼½©®ª«¬\xad§¦÷×ÆÇÈÉËÌÎÏÐÑÒÓÔÕÖØÜÝÞß]|[®¸µ¶¹](?=[a-z])")
 _WORD = re.compile(r"[^ \n\r\t]+")
+_SIGNS = frozenset(map(chr, range(128, 256)))  # all that _LEGACY_SIGN can match
+_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def _misread(codec: str) -> tuple[Callable[[str], str], Callable[[str], str]]:
@@ -106,17 +110,22 @@ def _features(word: str) -> np.ndarray:
 class Classifier:
     names: tuple[str, ...]
     weights: np.ndarray  # classes x buckets, log probabilities; the first class is "clean"
-    lexicon: frozenset[str] = frozenset()  # clean words of the training sentences
+    lexicon: dict[str, int] = field(default_factory=dict)  # letter runs of clean words and how often they stand
 
     def scores(self, word: str) -> np.ndarray:
         return self.weights[:, _features(word)].sum(axis=1)
 
 
-def looks_clean(sentence: str) -> bool:
+def looks_clean(sentence: str, beyond: Sequence[str] | None = None) -> bool:
     """Whether a sentence may serve as a clean example: no word of it can be undone, no lost signs."""
-    if "�" in sentence or len(_LEGACY_SIGN.findall(sentence)) > 1:
+    if "�" in sentence or not _SIGNS.isdisjoint(sentence) and len(_LEGACY_SIGN.findall(sentence)) > 1:
         return False
-    return not any(_undoable(w) for w in _WORD.findall(sentence) if not w.isascii())
+    return not any(map(_undoable, words_beyond(sentence) if beyond is None else beyond))
+
+
+def words_beyond(text: str) -> list[str]:
+    """The words of a text that are not plain ASCII."""
+    return [w for w in text.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") if not w.isascii()]
 
 
 @lru_cache(1 << 16)
@@ -140,11 +149,8 @@ def train(texts: Sequence[str], smoothing: float = 0.02) -> Classifier:
     counts = np.full((len(names), BUCKETS), smoothing)
     seen: dict[str, int] = {}
     for text in texts:
-        for sentence in re.split(r"(?<=[.!?])\s+|\n+", text):
-            if len(sentence) < 2000 and looks_clean(sentence):
-                for w in _WORD.findall(sentence):
-                    if not w.isascii():
-                        seen[w] = seen.get(w, 0) + 1
+        for w in clean_words(text):
+            seen[w] = seen.get(w, 0) + 1
     for w, n in seen.items():
         weight = 1 + np.log(n)
         np.add.at(counts[0], _features(w), weight)
@@ -155,12 +161,33 @@ def train(texts: Sequence[str], smoothing: float = 0.02) -> Classifier:
                     if not part.isascii():
                         np.add.at(counts[k], _features(part), weight)
     weights = np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
-    return Classifier(names, weights, frozenset(map(_bare, seen)))
+    runs: Counter[str] = Counter()
+    for w, n in seen.items():
+        for r in _runs(w):
+            runs[r] += n
+    return Classifier(names, weights, dict(runs))
+
+
+def clean_words(text: str) -> Iterator[str]:
+    """The words beyond ASCII of the clean sentences of a text."""
+    for sentence in re.split(r"(?<=[.!?])\s+|\n+", text):
+        if not sentence.isascii() and looks_clean(sentence, beyond := words_beyond(sentence)):
+            yield from beyond
+
+
+@lru_cache(1 << 16)
+def _runs(word: str) -> tuple[str, ...]:
+    """The letter runs of a word that are not plain ASCII, composed, in lower case."""
+    return tuple(r.lower() for r in _LETTERS.findall(unicodedata.normalize("NFC", word)) if not r.isascii())
 
 
-def _bare(word: str) -> str:
-    """The letters of a word, composed, in lower case."""
-    return "".join(c for c in unicodedata.normalize("NFC", word) if c.isalpha()).lower()
+@lru_cache(1 << 16)
+def _legacy(word: str) -> str | None:
+    """The word read in the single-byte Vietnamese encoding, if it may stand in it."""
+    got = undo(word, "tcvn3")
+    if got is None or word.isupper() and not got.isupper() or not re.search("[A-Za-z]", word):
+        return None  # capitals and lone signs stand in clean text too
+    return got
 
 
 class Restorer:
@@ -170,6 +197,13 @@ class Restorer:
         self.classifier = classifier
         self.judge = lru_cache(1 << 17)(self._judge)
 
+    def known(self, word: str, restored: str) -> bool:
+        """Whether clean sentences hold all letter runs of the restored word, and none of them less
+        often than the word as it is written: a common word may read as a rare one by accident."""
+        often = self.classifier.lexicon.get
+        written = max((often(r, 0) for r in _runs(word)), default=0)
+        return min((often(r, 0) for r in _runs(restored)), default=0) >= max(written, 1)
+
     def _judge(self, word: str) -> tuple[str, str | None, float]:
         """(chain or '', the restored word if any, log-odds against clean)."""
         if "�" in word:
@@ -182,14 +216,11 @@ class Restorer:
             if odds[k] < SURE or k == 0:
                 break
             name = self.classifier.names[k]
-            got = undo(word, name)
+            got = _legacy(word) if name == "tcvn3" else undo(word, name)
             if got is None:
                 continue
-            if name == "tcvn3":
-                if word.isupper() and not got.isupper() or not re.search("[A-Za-z]", word):
-                    continue  # capitals and lone signs stand in clean text too
-                if _bare(got) not in self.classifier.lexicon:
-                    continue  # every text decodes strictly here: only known words count
+            if name == "tcvn3" and not self.known(word, got):
+                continue  # every text decodes strictly here: only known words count
             return name, got, float(odds[k])
         for k in order:
             if odds[k] >= VERY_SURE and holds_pieces(word, self.classifier.names[k]):
@@ -223,12 +254,36 @@ class Restorer:
         return True, whole, "".join(out), max(sorted(set(names)), key=names.count)
 
 
+def known_runs(docs: DataFrame, text: str) -> DataFrame:
+    """``run, n``: how often the letter runs stand in clean sentences of the documents that some
+    word readable in the single-byte Vietnamese encoding holds, as written or restored."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stood, wanted, clean = Counter(), set(), Counter()
+            for t in batch.column(0).to_pylist():
+                if t and not t.isascii():
+                    stood.update(clean_words(t))
+                    wanted.update(words_beyond(t))
+            for w, n in stood.items():
+                for r in _runs(w):
+                    clean[r] += n
+            asked = {r for w in wanted if (got := _legacy(w)) for x in (w, got) for r in _runs(x)}
+            runs = list(clean.keys() | asked)
+            yield pa.RecordBatch.from_arrays([pa.array(runs, pa.string()), pa.array([clean[r] for r in runs], pa.int64()), pa.array([r in asked for r in runs], pa.bool_())], names=["run", "n", "asked"])
+
+    parts = docs.select(docs[text].cast("string")).mapInArrow(run, "run string, n long, asked boolean")
+    return parts.groupBy("run").agg(F.sum("n").alias("n"), F.bool_or("asked").alias("asked")).where("asked and n > 0").select("run", "n")
+
+
 def train_on(docs: DataFrame, key: str, text: str, most: int = TRAIN_DOCUMENTS) -> Classifier:
-    """The classifier from at most ``most`` documents, picked by a hash of their keys."""
+    """The classifier: its weights from at most ``most`` documents, picked by a hash of their keys,
+    its lexicon from all of them."""
     held = docs.where(F.col(text).isNotNull())
     step = max(1, held.count() // most)
     rows = held.where(F.pmod(F.xxhash64(key), F.lit(step)) == 0).select(text).limit(most).collect()
-    return train([r[text] for r in rows])
+    # A share of the vocabulary, which grows far more slowly than the documents.
+    return replace(train([r[text] for r in rows]), lexicon={r.run: r.n for r in known_runs(docs, text).collect()})
 
 
 def restore_documents(docs: DataFrame, key: str, text: str, classifier: Classifier | None = None) -> DataFrame:

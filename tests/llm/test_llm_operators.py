@@ -1,3 +1,4 @@
+import dataclasses
 import random
 from collections import defaultdict
 
@@ -246,6 +247,22 @@ def test_lost_signs_are_found_but_not_restored(spark, model):
     assert encodings.restore_documents(df.limit(0), "doc_id", "text").collect() == []
 
 
+def test_words_outside_the_training_sample_are_known(spark):
+    rare = "Khuê Thượng nuôi ngựa bạch ở lũng Nghẹo"
+    step = 3
+    ids = [r.id for r in spark.range(200).where(F.pmod(F.xxhash64("id"), F.lit(step)) != 0).limit(3).collect()]
+    docs = {i: SENTENCES[i % len(SENTENCES)] for i in range(200)} | {ids[0]: f"{rare}.", ids[1]: f"Horse farm <b>{encodings.chains()['tcvn3'][0](rare)}</b>", ids[2]: "Nothing"}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    model = encodings.train_on(df, "doc_id", "text", len(docs) // step)
+    assert {r.doc_id: r.restored for r in encodings.restore_documents(df, "doc_id", "text", model).collect()} == {ids[1]: f"Horse farm <b>{rare}</b>"}
+
+
+def test_a_common_word_is_not_read_as_a_rare_one(model):
+    frequent = dataclasses.replace(model, lexicon={"dòng": 50, "dũng": 2})  # "dòng" decodes to "dũng"
+    assert encodings.undo("dòng", "tcvn3") == "dũng"
+    assert not encodings.Restorer(frequent).known("dòng", "dũng") and encodings.Restorer(frequent).known("d\u00dfng", "dòng")
+
+
 def test_nothing_outside_imports_this_folder():
     import pathlib
 
