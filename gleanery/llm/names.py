@@ -9,6 +9,7 @@ graph is clustered into stars round the best attested spelling.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import lru_cache, reduce
 from hashlib import blake2b
@@ -53,6 +54,8 @@ _BUSINESS = {alias: line for line, aliases in BUSINESS.items() for alias in alia
 _LEGAL = set(LEGAL)
 _HEADS, _TAILS = ({k: [a for a in _BUSINESS if len(a) >= 7 and f(a) == k] for k in map(f, _BUSINESS)} for f in (lambda a: a[:3], lambda a: a[-3:]))
 _LONGEST = 5
+#: A word that sound names hold this many times less often than the word it is held against is no regular word.
+RARER = 10
 
 
 @lru_cache(1 << 16)
@@ -171,10 +174,36 @@ def _token_hash(token: str) -> np.int64:
 def _verified(pairs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sim = [same_proper(a, b) for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sim, pa.float64())], names=["a", "b", "sim"])
+            both = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            counted = [(Counter(a.split()), Counter(b.split())) for a, b in both]
+            own = [pa.array([list(x[i] - x[1 - i]) for x in counted], pa.list_(pa.string())) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([same_proper(a, b) for a, b in both], pa.float64()), *own], names=["a", "b", "sim", "own_a", "own_b"])
 
-    return pairs.mapInArrow(run, "a string, b string, sim double").where("sim > 0")
+    return pairs.mapInArrow(run, "a string, b string, sim double, own_a array<string>, own_b array<string>").where("sim > 0")
+
+
+def unlike(edges: DataFrame, nodes: DataFrame, rank: Column) -> DataFrame:
+    """``a, b``: the edges between two names that differ in regular words only, so no typing errors.
+
+    edges(a, b, own_a, own_b), own_a and own_b the words that only a or b holds; nodes(node, ...).
+    A name questions those of its words that a neighbour ranked above it lacks. A word is regular
+    for an edge if most of the other names that hold it do not question it: a misspelt word is
+    questioned wherever it stands, however often the table repeats it. The odd misspelt word whose
+    right form is not in the table stands out by its rarity beside the words it is held against.
+    """
+    ranked = nodes.select("node", rank.alias("rank"))
+    sides = edges.join(ranked.select(F.col("node").alias("a"), F.col("rank").alias("ra")), "a").join(ranked.select(F.col("node").alias("b"), F.col("rank").alias("rb")), "b")
+    a_first = F.col("ra").__gt__(F.col("rb")) | (F.col("ra") == F.col("rb")) & (F.col("a") < F.col("b"))
+    side = lambda x, above: F.struct(F.col(x).alias("node"), F.col(f"own_{x}").alias("own"), above.alias("above"))
+    words_of = cut(sides.select("a", "b", F.explode(F.array(side("a", a_first), side("b", ~a_first))).alias("s")).select("a", "b", "s.node", "s.above", F.explode("s.own").alias("word")))
+    questioned = words_of.where("not above").select("node", "word").distinct().withColumn("questioned", F.lit(True))
+    held = ranked.select("node", F.explode(F.array_distinct(F.split("node", " "))).alias("word")).join(questioned, ["node", "word"], "left")
+    held = cut(held.select("node", "word", F.coalesce("questioned", F.lit(False)).alias("questioned")))
+    stats = held.groupBy("word").agg((F.count(F.lit(1)) - 1).alias("others"), F.count_if(~F.col("questioned")).alias("sound"))
+    sound = F.col("sound") - F.when(F.col("questioned"), 0).otherwise(1)
+    judged = words_of.join(held, ["node", "word"]).join(stats, "word").withColumn("sound", sound).withColumn("regular", 2 * F.col("sound") > F.col("others"))
+    even = F.min("sound") * RARER >= F.max("sound")
+    return judged.groupBy("a", "b").agg((F.bool_and("regular") & even).alias("unlike")).where("unlike").select("a", "b")
 
 
 def stars(nodes: DataFrame, edges: DataFrame, rank: Column) -> DataFrame:
@@ -249,22 +278,11 @@ def link_names(names: DataFrame, column: str = "name", weight: str | None = None
     )
     rows = 4
     pairs = candidate_pairs(keys, "proper", _shingles, bands_for(0.45, 0.96, rows), rows)
-    edges = _verified(pairs)
-    vocabulary = (
-        keys.select(F.explode(F.array_distinct(F.split("proper", " "))).alias("word"), "n").groupBy("word").agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("n"))
-    )
-    # A key is attested if each of its words stands in several other keys and it is no rarity itself.
-    attested = (
-        keys.select("proper", "n", "spellings", F.explode(F.split("proper", " ")).alias("word"))
-        .join(vocabulary.select("word", "keys"), "word")
-        .groupBy("proper", "n", "spellings")
-        .agg(F.min("keys").alias("rarest"))
-        .withColumn("attested", (F.col("rarest") >= 5) & (F.col("spellings") >= 4))
-    )
-    attested = cut(attested)
-    left, right = (attested.select(F.col("proper").alias(x), F.col("attested").alias(f"at_{x}")) for x in "ab")
-    edges = cut(edges.join(left, "a").join(right, "b").where("not (at_a and at_b)").select("a", "b", "sim"))
-    star = stars(attested.withColumnRenamed("proper", "node"), edges, F.struct(F.col("attested"), F.col("spellings"), F.col("n")))
+    edges = cut(_verified(pairs))
+    nodes = keys.withColumnRenamed("proper", "node")
+    rank = F.struct("spellings", "n")
+    edges = cut(edges.join(unlike(edges, nodes, rank), ["a", "b"], "left_anti").select("a", "b", "sim"))
+    star = stars(nodes, edges, rank)
     centre = keys.select("key", "proper").join(star, keys["proper"] == star["node"]).select("key", "center")
     placed = spaced.join(centre, "key")
     lines = placed.where("line <> ''").groupBy("center").agg(F.count_distinct("line").alias("lines"), F.min("line").alias("only_line"))

@@ -62,6 +62,21 @@ def test_names_link_to_their_companies(spark):
     assert names.link_names(spark.createDataFrame([], "name string")).collect() == []
 
 
+def test_links_do_not_depend_on_the_size_of_the_table(spark):
+    forms = ["Công ty {}", "Cty {}", "{} JSC", "{} Corp", "Tập đoàn {}", "{} Group"]
+    hot, typo = "Trầm Hương Bắc Đẩu", "Trầm Hươngg Bắc Đẩu"
+    rest = ["Kim {} Sơn Hải", "Lạc {} Minh Quyết", "Thái {} Nguyên Dũng", "Vạn {} Phúc Điền", "Đại {} Thành Khoa"]
+    two = ["Lam Quỳnh Thao Binh", "Lam Quỳnh Thao Dinh"]
+    small = [hot, "Công ty " + hot, typo, *two, "Khoa Nhật Binh", "Dinh Ngọc Phước"]
+    tram = [x for w in ("Trầm", "Bắc", "Đẩu") for x in (f"{w} Nghĩa Khuyên", f"{w} Vượng Lộc", f"{w} Xuân Hiệp", f"{w} Giáp Tuệ", f"{w} Yên Ý")]
+    large = [f.format(x) for f in forms for x in (hot, typo, *two, "Khoa Nhật Binh", "Dinh Ngọc Phước")] + [r.format(w) for r in rest for w in ("Hương", "Hươngg")] + [hot] * 50 + tram
+    for rows in (small, large):
+        of = {r.name: r.company for r in names.link_names(spark.createDataFrame([(x,) for x in rows], "name string")).collect()}
+        at = lambda x: next(c for n, c in of.items() if n.endswith(x) or x in n)
+        assert at(hot) == at(typo), len(rows)
+        assert at(two[0]) != at(two[1]), len(rows)
+
+
 def test_stars_cover_every_node(spark):
     nodes = spark.createDataFrame([(c, n) for c, n in zip("abcdef", (9, 1, 5, 1, 1, 1))], "node string, n int")
     edges = spark.createDataFrame([("a", "b", 0.9), ("b", "c", 0.8), ("c", "d", 0.9), ("d", "e", 0.9)], "a string, b string, sim double")
