@@ -20,8 +20,6 @@ from pyspark.sql import functions as F
 
 from gleanery.session import cut
 
-#: Values longer than this are described by their alphabet at the finest: a longer mask never pays.
-LONG = 64
 #: A value described only by itself conforms if it holds at least this share of the column's rows.
 SUPPORT = 0.001
 #: Bits of one symbol of an expression, and of one character of each class.
@@ -116,16 +114,18 @@ def shape_values(counts: DataFrame) -> DataFrame:
 
     The chain of shapes: A upper, a lower, 9 digit, s space, other signs as they are; + repeats.
     Each step is a projection of its own, so that no expression is computed twice; what follows
-    moves short shapes and never the values.
+    moves shapes and never the values. Values of any length have all shapes.
     """
     v, n = F.col("value"), F.length("value").cast("double")
     mask = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(v, r"[\p{Lu}\p{Lt}]\p{M}*", "A"), r"[\p{Ll}\p{Lo}\p{Lm}]\p{M}*", "a"), r"\p{Nd}", "9"), r"(?U)\s", "s")
     signs = F.array_join(F.array_sort(F.array_distinct(F.split(F.regexp_replace(v, r"(?U)[\p{L}\p{M}\p{Nd}\s]", ""), ""))), "")
     has = lambda rx, sign: F.when(v.rlike(rx), sign).otherwise("")
     df = counts.withColumn("alphabet", F.concat(F.lit(_SET), has(r"\p{L}", "a"), has(r"\p{Nd}", "9"), has(r"(?U)\s", "s"), signs))
-    df = df.withColumn("mask", F.when(F.length("value") <= LONG, mask))
+    df = df.withColumn("mask", mask)
     df = df.withColumn("runs", F.regexp_replace("mask", r"([Aa9s])\1+", "$1+"))
-    df = df.withColumn("words", F.regexp_replace(F.regexp_replace("runs", r"[Aa]\+?(?:[Aa]\+?)*", "W"), r"W(?:s\+?W)+", "T"))
+    # In steps without repeated groups, which would recurse once per word of a long text.
+    word = F.regexp_replace(F.regexp_replace("runs", r"[Aa]\+?", "W"), "W+", "W")
+    df = df.withColumn("words", F.regexp_replace(F.regexp_replace(word, r"(?<=W)s\+?(?=W)", ""), "WW+", "T"))
     size = 2 * F.log2(n + 1) + 1
     spread = F.length("alphabet").cast("double") - 1 + F.when(F.col("alphabet").contains("a"), 90.0).otherwise(0.0) + F.when(F.col("alphabet").contains("9"), 10.0).otherwise(0.0)
     df = df.withColumn("b_alphabet", n * F.log2(spread) + size)

@@ -56,3 +56,18 @@ def test_profile_and_edges(spark):
     odd = spark.createDataFrame([(None, "x" * 50_000), (None, None)], "load int, v string")
     assert q.load_counts(odd, "load", ["v"], {}).first().nulls == 1
     assert {r.level for r in q.expression_coverage(q.shape_values(q.value_counts(odd, "load", ["v"]))).collect()} <= {"alphabet", "any", "value"}
+
+
+def test_long_values_have_their_structure(spark):
+    from random import Random
+
+    rng = Random(3)
+    word = lambda: "".join(rng.choice("aeioubcdgmnt") for _ in range(rng.randrange(2, 9)))
+    text = lambda: " ".join(word() for _ in range(rng.randrange(14, 20)))
+    rows = [(load, f"{text()}: {text()}" if load < 3 else f"{text()} :{text()}") for load in (1, 2, 3) for _ in range(30)]
+    cover = q.expression_coverage(q.shape_values(q.value_counts(spark.createDataFrame(rows, "load int, v string"), "load", ["v"]))).collect()
+    assert {r.level for r in cover} == {"words"}
+    assert {r.load for r in cover if r.other_share == 0} == {3} and sum(r.rows for r in cover) == 90
+    huge = spark.createDataFrame([(1, "Ab c " * 40_000 + "1"), (1, "x-" * 40_000)], "load int, v string")
+    shapes = {r.words for r in q.shape_values(q.value_counts(huge, "load", ["v"])).collect()}
+    assert shapes == {"Ts9", "W-" * 40_000}
