@@ -180,3 +180,10 @@ def test_state_rules(spark):
     assert rows(state.commit(known, new, "k", "f")) == [("a", "overlap"), ("b", "conflict"), ("c", "new"), ("d", "conflict")]
     e = spark.createDataFrame([(1, "a", "pending"), (2, "a", "processing"), (1, "b", "done")], "o int, k string, s string")
     assert rows(state.last_state(e, "k", "s", "o")) == [("a", "pending"), ("b", "done")]
+
+
+def test_stream_windows_hold_the_last_hours(spark, data):
+    from gleanery.plans.reference import QUERIES
+
+    want = sorted(map(tuple, QUERIES["m_hourly_windows"](spark, data).select("hour", "event_type", "n").collect()))
+    assert want and sorted(map(tuple, QUERIES["m_stream_windows"](spark, data).select("window_start", "event_type", "n").collect())) == want
