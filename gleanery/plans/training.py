@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gleanery.operators import quality_profile as quality
 from gleanery.operators.packed_values import split_packed
 from gleanery.operators.units import parse_quantities, per_month, with_factors
-from gleanery.session import cut, table
+from gleanery.session import table
 
 # The raw columns of source_rows.
 RAW_COLUMNS = (
@@ -26,29 +26,26 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named[0].unionByName(named[1])
 
 
-def _loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
-    return table(spark, sf_dir, "source_rows"), quality.contract_of(table(spark, sf_dir, "column_contract"))
+def _profile(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
+    contract = quality.contract_of(table(spark, sf_dir, "column_contract"), RAW_COLUMNS)
+    return quality.profile(table(spark, sf_dir, "source_rows"), "load_id", RAW_COLUMNS, contract), contract
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The loads in which a column departs from the others."""
-    rows, contract = _loads(spark, sf_dir)
-    counts = quality.load_counts(rows, "load_id", RAW_COLUMNS, contract)
+    """The loads in which a column departs from the others, read off the profile."""
+    profiled, contract = _profile(spark, sf_dir)
     mixed = [c for c in RAW_COLUMNS if contract.get(c, {}).get("check_mix")]
-    distances = quality.mix_distance(quality.value_counts(rows, "load_id", mixed))
-    return quality.departures(counts, distances).withColumnRenamed("load", "load_id")
+    return quality.departures(profiled, mixed).withColumnRenamed("load", "load_id")
 
 
 def p5_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every raw column profiled per load, with the rows outside the induced expressions."""
-    rows, contract = _loads(spark, sf_dir)
-    return quality.profile(rows, "load_id", RAW_COLUMNS, contract).withColumnRenamed("load", "load_id")
+    return _profile(spark, sf_dir)[0].withColumnRenamed("load", "load_id")
 
 
 def p5_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The expressions induced for every raw column, with their coverage in each load and elsewhere."""
-    rows, _ = _loads(spark, sf_dir)
-    return quality.expression_coverage(cut(quality.shape_values(quality.value_counts(rows, "load_id", RAW_COLUMNS)))).withColumnRenamed("load", "load_id")
+    return quality.expression_coverage(table(spark, sf_dir, "source_rows"), "load_id", RAW_COLUMNS).withColumnRenamed("load", "load_id")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

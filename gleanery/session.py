@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -24,6 +27,7 @@ def make_session(app: str = "gleanery", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for k, v in settings.items():
@@ -39,14 +43,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Where that setting is absent (local tests) a temporary folder of this machine is set once.
+    Where that setting is absent and the session is local (tests) a temporary folder of this machine
+    is set once and removed at the end; on a cluster the setting must be there.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if where:
         return where
     sc = spark.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(os.path.join(tempfile.gettempdir(), f"gleanery-{uuid.uuid4().hex}"))
+    held = sc._jsc.sc().getCheckpointDir()
+    if held.isDefined():
+        return held.get()
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    own = os.path.join(tempfile.gettempdir(), f"gleanery-{uuid.uuid4().hex}")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    sc.setCheckpointDir(own)
     return sc._jsc.sc().getCheckpointDir().get()
 
 
@@ -56,6 +67,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Like ``cut``, as a compressed table of which each reader reads the columns it needs."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if a count proves it small, else ``df`` as it is (shuffled join)."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
