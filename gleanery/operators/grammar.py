@@ -9,52 +9,69 @@ from pyspark.sql import functions as F
 from gleanery.functions.text import collapse
 
 # Literals and bound words of experience labels.
-NO_REQUIREMENT = ("không yêu cầu", "không yêu cầu kinh nghiệm", "không cần kinh nghiệm", "chưa có kinh nghiệm")
-UNKNOWN = ("chưa xác định", "chưa cập nhật", "đang cập nhật")
+AMBIGUOUS = ("không",)
+UNKNOWN = ("chưa xác định", "chưa cập nhật")
+NO_REQUIREMENT = ("không yêu cầu kinh nghiệm", "không yêu cầu", "không cần")
+REQUIRED = ("yêu cầu ứng viên có", "có", "yêu cầu")
 LOWER = "trên|hơn|>=|>|ít nhất|tối thiểu|không dưới|từ"
 UPPER = "dưới|lên đến|<=|<"
-_N = r"([0-9]+(?:[.,][0-9]+)?)"
-RANGE = rf"^{_N} ?(?:-|–|đến) ?{_N} ?(năm|tháng)$"
-BOUND = rf"^(?:({LOWER}|{UPPER}) ?)?{_N} ?(năm|tháng)(?: (trở lên|trở xuống))?$"
+OPEN_LOWER, OPEN_UPPER = ("trên", "hơn", ">"), ("dưới", "<")
+#: A stated number this large is no experience.
+TOO_MUCH = 1_000_000_000
+_N, _U = r"([0-9]+(?:[.,][0-9]+)?)", "(năm|tháng)"
+#: number, unit if it differs, number, unit
+RANGE = rf"^(?:từ )?{_N} ?{_U}? ?(?:[-–—]|đến|tới) ?{_N} ?{_U}$"
+#: bound word, number, unit, direction
+BOUND = rf"^({LOWER}|{UPPER})? ?{_N} ?{_U} ?(trở lên|trở xuống)?$"
 
 
 def experience(column: Column) -> Column:
     """``struct(status, kind, low_months, high_months, low_open, high_open, bucket)``.
 
-    Statuses: missing, unknown, no_requirement, mapped, invalid_bounds, unmapped. Kinds: range,
-    point, lower_bound, upper_bound. A range that crosses a bucket's edge has no bucket.
+    Statuses: missing, unknown, ambiguous_literal, no_requirement, mapped, ambiguous (bound words
+    that contradict each other), invalid_bounds (reversed, or a number of ``TOO_MUCH`` and more,
+    whatever its length), unmapped. Kinds: range, stated_point, lower_bound, upper_bound,
+    no_requirement, required_unspecified. Each end of a range may have a unit of its own. A range
+    that crosses a bucket's edge has no bucket.
     """
     t = F.regexp_replace(F.lower(collapse(column)), " kinh nghiệm$", "")
-    num = lambda rx, i: F.regexp_replace(F.nullif(F.regexp_extract(t, rx, i), F.lit("")), ",", ".").cast("decimal(18,6)")
-    scale = lambda rx, i: F.when(F.regexp_extract(t, rx, i) == "năm", 12).otherwise(1)
+    part = lambda rx, i: F.nullif(F.regexp_extract(t, rx, i), F.lit(""))
+    number = lambda rx, i: F.replace(part(rx, i), F.lit(","), F.lit(".")).try_cast("decimal(18,6)")
+    months = lambda n, unit: (n * F.when(unit == "năm", 12).otherwise(1)).cast("decimal(24,6)")
+    huge = lambda n: F.coalesce(n >= TOO_MUCH, F.lit(True))
     ranged, bounded = t.rlike(RANGE), t.rlike(BOUND)
-    head, tail = F.regexp_extract(t, BOUND, 1), F.regexp_extract(t, BOUND, 4)
-    point = num(BOUND, 2) * scale(BOUND, 3)
-    lower = bounded & (head.rlike(f"^(?:{LOWER})$") | (head == "") & (tail == "trở lên"))
-    upper = bounded & (head.rlike(f"^(?:{UPPER})$") | (head == "") & (tail == "trở xuống"))
-    clash = bounded & (head.rlike(f"^(?:{LOWER})$") & (tail == "trở xuống") | head.rlike(f"^(?:{UPPER})$") & (tail == "trở lên"))
-    low = F.when(ranged, num(RANGE, 1) * scale(RANGE, 3)).when(upper, F.lit(0)).when(bounded, point).cast("decimal(18,6)")
-    high = F.when(ranged, num(RANGE, 2) * scale(RANGE, 3)).when(lower, F.lit(None)).when(bounded, point).cast("decimal(18,6)")
-    kind = F.when(ranged, "range").when(lower, "lower_bound").when(upper, "upper_bound").when(bounded, "point")
+    a, b, p = number(RANGE, 1), number(RANGE, 3), number(BOUND, 2)
+    low_r, high_r, point = months(a, F.coalesce(part(RANGE, 2), part(RANGE, 4))), months(b, part(RANGE, 4)), months(p, part(BOUND, 3))
+    head, tail = part(BOUND, 1), part(BOUND, 4)
+    up, down = F.coalesce(head.rlike(f"^(?:{LOWER})$"), F.lit(False)), F.coalesce(head.rlike(f"^(?:{UPPER})$"), F.lit(False))
+    rises, falls = F.coalesce(tail == "trở lên", F.lit(False)), F.coalesce(tail == "trở xuống", F.lit(False))
+    lower, upper = bounded & (up | rises), bounded & (down | falls)
+    literal = lambda *x: t.isin(*x)
     status = (
         F.when(F.coalesce(t, F.lit("")) == "", "missing")
-        .when(t.isin(*UNKNOWN), "unknown")
-        .when(t.isin(*NO_REQUIREMENT), "no_requirement")
-        .when(clash, "ambiguous")
-        .when(ranged & (low > high), "invalid_bounds")
-        .when(ranged | bounded, "mapped")
+        .when(literal(*AMBIGUOUS), "ambiguous_literal")
+        .when(literal(*UNKNOWN), "unknown")
+        .when(literal(*NO_REQUIREMENT), "no_requirement")
+        .when(literal(*REQUIRED), "mapped")
+        .when(ranged, F.when(huge(a) | huge(b) | (low_r > high_r), "invalid_bounds").otherwise("mapped"))
+        .when(lower & upper, "ambiguous")
+        .when(bounded, F.when(huge(p), "invalid_bounds").otherwise("mapped"))
         .otherwise("unmapped")
     )
-    ok = status == "mapped"
-    low_open, high_open = F.when(ok & lower, head.isin("trên", "hơn", ">")), F.when(ok & upper, head.isin("dưới", "<"))
+    said = F.when(literal(*REQUIRED), "required_unspecified").when(literal(*NO_REQUIREMENT), "no_requirement")
+    kind = F.coalesce(said, F.when(ranged, "range").when(lower, "lower_bound").when(upper, "upper_bound").when(bounded, "stated_point"))
+    ok = (status == "mapped") & said.isNull()
+    low = F.when(ok, F.when(ranged, low_r).when(upper, F.lit(0)).otherwise(point)).cast("decimal(24,6)")
+    high = F.when(ok, F.when(ranged, high_r).when(~lower, point)).cast("decimal(24,6)")
+    low_open, high_open = F.when(ok & lower, head.isin(*OPEN_LOWER)), F.when(ok & upper, head.isin(*OPEN_UPPER))
     return F.struct(
         status.alias("status"),
-        F.when(ok, kind).alias("kind"),
-        F.when(ok, low).alias("low_months"),
-        F.when(ok, high).alias("high_months"),
+        F.when(status.isin("mapped", "no_requirement"), kind).alias("kind"),
+        low.alias("low_months"),
+        high.alias("high_months"),
         F.coalesce(low_open, F.lit(False)).alias("low_open"),
         F.coalesce(high_open, F.lit(False)).alias("high_open"),
-        F.when(ok, bucket(low, high, F.coalesce(high_open, F.lit(False)))).alias("bucket"),
+        F.coalesce(said, F.when(ok, bucket(low, high, F.coalesce(high_open, F.lit(False))))).alias("bucket"),
     )
 
 
@@ -80,19 +97,3 @@ def salary_shape(column: Column) -> Column:
         .when(t.rlike("^(từ|trên|dưới|đến|tới|lên đến|upto|from|tối thiểu|tối đa|<=|>=)"), "bound")
         .otherwise("number")
     )
-
-
-def salary_status(column: Column) -> Column:
-    """Whether an amount can be read: missing, negotiable, needs_review (alternatives),
-    currency_conflict, missing_currency_or_scale or readable."""
-    t, shape = F.lower(collapse(column)), salary_shape(column)
-    dollar, dong = t.rlike(r"usd|\$|đô"), t.rlike("vnd|vnđ|đồng|₫")
-    return (
-        F.when((shape == "missing") | t.isin("đang cập nhật", "chưa cập nhật"), "missing")
-        .when(shape == "negotiable", "negotiable")
-        .when(shape == "other", "missing")
-        .when(F.contains(t, F.lit("hoặc")), "needs_review")
-        .when(dollar & dong, "currency_conflict")
-        .when(~t.rlike(r"usd|\$|đô|vnd|vnđ|đồng|₫|[0-9]đ|triệu|trieu|tr|nghìn|ngàn|[0-9]k|[0-9]m"), "missing_currency_or_scale")
-        .otherwise("readable")
-    )

@@ -32,10 +32,15 @@ def field_hashes(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.array(*[F.sha2(F.concat(F.lit("t:" if dict(df.dtypes)[c] == "string" else "n:"), json_value(df, c)), 256) for c in columns])
 
 
+def digest_parts(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """The aggregates of ``digest``."""
+    part = F.conv(F.substring(fingerprint(df, columns), 1, 12), 16, 10).cast("decimal(20,0)")
+    return [F.count(F.lit(1)).alias("n_rows"), F.sum(part).cast("decimal(38,0)").alias("digest")]
+
+
 def digest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``n_rows, digest``: a digest of a table as a multiset of rows, whatever their order."""
-    part = F.conv(F.substring(fingerprint(df, columns), 1, 12), 16, 10).cast("decimal(20,0)")
-    return df.select(part.alias("h")).agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum("h").cast("decimal(38,0)"), F.lit(0)).cast("string").alias("digest"))
+    return df.agg(*digest_parts(df, columns)).select("n_rows", F.coalesce("digest", F.lit(0)).cast("decimal(38,0)").cast("string").alias("digest"))
 
 
 def duplicate_groups(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:

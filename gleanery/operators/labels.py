@@ -6,10 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.functions.text import collapse
-from gleanery.session import small
-
-#: A chain of parents longer than this is taken for a cycle.
-MOST_STEPS = 50
+from gleanery.session import cut, small
 
 
 def look_up(df: DataFrame, column: str, dictionary: DataFrame, label: str = "label", values: tuple[str, ...] = ("category", "status")) -> DataFrame:
@@ -70,21 +67,27 @@ def equivalence_key(column: Column) -> Column:
 
 
 def roll_up(spark: SparkSession, edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
-    """``label, root, steps``: every label followed to the end of its parent chain.
+    """``label, root, steps``: every label followed to the end of its parent chain, however long.
 
-    A label without a parent is its own root; a chain of more than ``MOST_STEPS`` is a cycle and
-    an error.
+    A label without a parent is its own root; a cycle is an error, as are two parents of one label.
+    Chains are followed by doubling: a chain of n steps takes log2(n) rounds, and what is still
+    open after as many rounds as all labels together could need is a cycle.
     """
-    edges.select(F.col(child).alias("child"), F.col(parent).alias("parent")).where("child is not null and parent is not null").createOrReplaceTempView("__edges")
-    walked = spark.sql(
-        f"""WITH RECURSIVE walk(label, root, steps) MAX RECURSION LEVEL {MOST_STEPS + 1} AS (
-              SELECT child, parent, 1 FROM __edges
-              UNION ALL SELECT w.label, e.parent, w.steps + 1 FROM walk w JOIN __edges e ON e.child = w.root)
-            SELECT label, root, steps FROM walk"""
-    )
-    longest = walked.groupBy("label").agg(F.max_by("root", "steps").alias("root"), F.max("steps").alias("steps"))
-    tops = edges.select(F.col(parent).alias("label")).distinct().join(longest, "label", "left_anti").where("label is not null")
-    return longest.unionByName(tops.select("label", F.col("label").alias("root"), F.lit(0).alias("steps")))
+    named = edges.select(F.col(child).alias("label"), F.col(parent).alias("root")).where("label is not null and root is not null").distinct()
+    walked = cut(named.withColumn("steps", F.lit(1).cast("long")))
+    if not walked.groupBy("label").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        raise ValueError("a label with two parents")
+    tops = walked.select(F.col("root").alias("label")).distinct().join(walked, "label", "left_anti")
+    for _ in range(walked.count().bit_length() + 1):
+        on = walked.select(F.col("label").alias("__at"), F.col("root").alias("__next"), F.col("steps").alias("__more"))
+        moved = walked.join(on, F.col("root") == F.col("__at"), "left")
+        walked = cut(moved.select("label", F.coalesce("__next", "root").alias("root"), (F.col("steps") + F.coalesce("__more", F.lit(0))).alias("steps"), F.col("__next").isNull().alias("done")))
+        if walked.where("not done").isEmpty():
+            break
+        walked = walked.drop("done")
+    else:
+        raise ValueError("a cycle of parents")
+    return walked.drop("done").unionByName(tops.select("label", F.col("label").alias("root"), F.lit(0).cast("long").alias("steps")))
 
 
 def label_scope(df: DataFrame, label: str, least: int) -> DataFrame:
@@ -93,7 +96,7 @@ def label_scope(df: DataFrame, label: str, least: int) -> DataFrame:
     The counts are aggregated first and joined back, so a hot label is no hot window.
     """
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("label_rows"))
-    joined = df.join(counts.withColumnRenamed(label, "__label"), df[label].eqNullSafe(F.col("__label")), "left").drop("__label")
+    joined = df.join(small(counts.withColumnRenamed(label, "__label")), df[label].eqNullSafe(F.col("__label")), "left").drop("__label")
     return joined.withColumn("in_scope", F.col(label).isNotNull() & (F.col("label_rows") >= least))
 
 

@@ -18,18 +18,18 @@ def _long(df: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame:
 def field_profile(df: DataFrame, columns: Sequence[str], sentinels: Sequence[str] = ()) -> DataFrame:
     """``column_name, n_rows, nulls, blanks, distinct_values, sentinel_hits``; one row per column.
 
-    Values are first counted per column and value, so that a value of any frequency is one row in
-    the distinct count; blanks are texts of white space only.
+    Values are judged and hashed (twice 64 bits) in the scan and counted by hash, so that no text is
+    shuffled and a value of any frequency is one row in the distinct count; blanks are texts of white
+    space only.
     """
-    words = [s.lower() for s in sentinels]
-    counted = _long(df, columns).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    v = F.col("value")
+    v, words = F.col("value"), [s.lower() for s in sentinels]
+    judged = _long(df, columns).select(
+        "column_name", F.xxhash64(v).alias("h"), F.xxhash64(F.lit(1), v).alias("g"), v.isNull().alias("null"), F.coalesce(strip(v) == "", F.lit(False)).alias("blank"), F.coalesce(F.lower(strip(v)).isin(words), F.lit(False)).alias("sentinel")
+    )
+    counted = judged.groupBy(*judged.columns).agg(F.count(F.lit(1)).alias("n"))
+    rows = lambda c: F.sum(F.when(F.col(c), F.col("n")).otherwise(0))
     return counted.groupBy("column_name").agg(
-        F.sum("n").alias("n_rows"),
-        F.sum(F.when(v.isNull(), F.col("n")).otherwise(0)).alias("nulls"),
-        F.sum(F.when(strip(v) == "", F.col("n")).otherwise(0)).alias("blanks"),
-        F.count("value").alias("distinct_values"),
-        F.sum(F.when(F.lower(strip(v)).isin(words), F.col("n")).otherwise(0)).alias("sentinel_hits"),
+        F.sum("n").alias("n_rows"), rows("null").alias("nulls"), rows("blank").alias("blanks"), F.count_if(~F.col("null")).alias("distinct_values"), rows("sentinel").alias("sentinel_hits")
     )
 
 

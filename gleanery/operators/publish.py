@@ -6,10 +6,10 @@ import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.operators.identity import digest
+from gleanery.operators.identity import digest, digest_parts
 
 
 def _fs(spark: SparkSession, path: str):
@@ -35,10 +35,29 @@ def _write(spark: SparkSession, path: str, text: str) -> None:
     out = fs.create(beside, True)
     out.write(bytearray(text.encode()))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(beside, p):
-        raise OSError(f"cannot publish {path}")
+    jvm = spark._jvm
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration()).rename(beside, p, over)
+
+
+def _stage(df: DataFrame, path: str, columns: Sequence[str], compression: str) -> tuple[str, dict]:
+    """The staging folder and digest of ``df`` once written beside ``path`` and read back.
+
+    What is written is counted by the job that writes it, so the plan of ``df`` runs once.
+    """
+    spark, staging, seen = df.sparkSession, f"{path}.staging-{uuid.uuid4().hex}", Observation()
+    watched = df.observe(seen, *digest_parts(df, columns))
+    watched.write.option("compression", compression).parquet(staging)
+    before, after = (named(x) for x in (seen.get, digest(spark.read.schema(df.schema).parquet(staging), columns).first().asDict()))
+    if before != after:
+        raise ValueError(f"read back {after}, wrote {before}")
+    return staging, after
+
+
+def named(parts: dict) -> dict:
+    """A digest as it stands in manifests."""
+    return {"n_rows": parts["n_rows"], "digest": str(parts["digest"] or 0)}
 
 
 def stage_and_verify(df: DataFrame, path: str, columns: Sequence[str], compression: str = "zstd") -> dict:
@@ -50,12 +69,13 @@ def stage_and_verify(df: DataFrame, path: str, columns: Sequence[str], compressi
     fs, p = _fs(spark, path)
     if fs.exists(p):
         raise FileExistsError(path)
-    staging = f"{path}.staging-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(staging)
-    before, after = (digest(x, columns).first().asDict() for x in (df, spark.read.schema(df.schema).parquet(staging)))
-    if before != after:
-        raise ValueError(f"read back {after}, wrote {before}")
-    fs.rename(_fs(spark, staging)[1], p)
+    return _settle(spark, *_stage(df, path, columns, compression), path, columns)
+
+
+def _settle(spark: SparkSession, staging: str, after: dict, path: str, columns: Sequence[str]) -> dict:
+    fs, p = _fs(spark, path)
+    if not fs.rename(_fs(spark, staging)[1], p):
+        raise OSError(f"cannot publish {path}")
     manifest = {"columns": list(columns), **after}
     _write(spark, f"{path}/_manifest.json", json.dumps(manifest, sort_keys=True))
     return manifest
@@ -80,13 +100,18 @@ def publish(df: DataFrame, root: str, name: str, fingerprint: str, columns: Sequ
         if run["state"] == "running":
             run |= {"state": "failed", "reason": "abandoned_session"}
     pointer = _read(spark, f"{root}/{name}/current.json")
-    content = "{n_rows}:{digest}".format(**digest(df, columns).first().asDict())
-    decision = load_decision(json.loads(pointer) if pointer else None, fingerprint, content)
-    run = {"run": uuid.uuid4().hex, "state": "running", "decision": decision, "fingerprint": fingerprint, "content": content}
+    run = {"run": uuid.uuid4().hex, "state": "running", "fingerprint": fingerprint}
+    version = f"{root}/{name}/v-{run['run']}"
     _write(spark, f"{root}/{name}/ledger.json", json.dumps([*ledger, run]))
-    if decision != "verified_noop":
-        version = f"{root}/{name}/v-{run['run']}"
-        stage_and_verify(df, version, columns)
+    staging, after = _stage(df, version, columns, "zstd")
+    content = "{n_rows}:{digest}".format(**after)
+    decision = load_decision(json.loads(pointer) if pointer else None, fingerprint, content)
+    run |= {"decision": decision, "content": content}
+    if decision == "verified_noop":
+        fs, p = _fs(spark, staging)
+        fs.delete(p, True)
+    else:
+        _settle(spark, staging, after, version, columns)
         _write(spark, f"{root}/{name}/current.json", json.dumps({"version": version, "fingerprint": fingerprint, "content": content}))
     _write(spark, f"{root}/{name}/ledger.json", json.dumps([*ledger, run | {"state": "published"}]))
     return decision

@@ -59,6 +59,7 @@ class Reading(NamedTuple):
 
 
 _NONE = Reading(None, None, None, None, None)
+_TOO_LARGE = 10**38
 
 
 @lru_cache(1)
@@ -112,7 +113,7 @@ def number(text: str) -> int | None:
     elif not t.isdigit():
         return None
     whole, _, part = t.partition(".")
-    return int(whole) * 10_000 + int(part.ljust(4, "0") or 0) if len(whole) < 16 else None
+    return int(whole) * 10_000 + int(part.ljust(4, "0") or 0)
 
 
 @lru_cache(1 << 16)
@@ -121,7 +122,7 @@ def read_column_units(currency: str | None, period: str | None) -> tuple[int | N
     scale, money = 1, None
     if currency and currency.strip():
         t = unicodedata.normalize("NFC", currency).lower()
-        if m := re.search(r"\d+", t):
+        if m := re.search(r"\d{1,18}", t):
             scale = int(m[0])
         for _, _, meanings in _units(t):
             if "money" in meanings:
@@ -219,23 +220,28 @@ def _without_units(gap: str, t: str, spans: list, k: int, units: list, start: in
 
 
 def parse_quantities(df: DataFrame, text: str, currency: str | None, period: str | None) -> DataFrame:
-    """``df`` with ``low_e4, high_e4`` (decimal, ten-thousandths of the unit), ``money``, ``pay_period``.
+    """``df`` with ``low_e4, high_e4`` (decimal, ten-thousandths of the unit), ``money``, ``pay_period``, ``reading``.
 
-    Nulls everywhere where nothing can be read. Columns of those names are replaced, others pass.
+    ``reading``: ``missing`` (null or blank), ``read``, ``unreadable``, or ``out_of_range`` for amounts
+    of more than 34 digits; the other columns are null unless it is ``read``. Columns of those names
+    are replaced, others pass.
     """
-    new = ["low_e4", "high_e4", "money", "pay_period"]
+    new = ["low_e4", "high_e4", "money", "pay_period", "reading"]
     base = df.drop(*new)
     names = base.columns
     spot = [names.index(c) if c else None for c in (text, currency, period)]
-    shape = base.select("*", *[F.lit(None).cast(k).alias(c) for c, k in zip(new, ("decimal(30,0)", "decimal(30,0)", "string", "string"))]).schema
+    shape = base.select("*", *[F.lit(None).cast(k).alias(c) for c, k in zip(new, ("decimal(38,0)", "decimal(38,0)", "string", "string", "string"))]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = lru_cache(1 << 16)(read_amounts)
         for batch in batches:
             columns = [batch.column(i).cast(pa.string()).to_pylist() if i is not None else [None] * batch.num_rows for i in spot]
             got = [read(*x) for x in zip(*columns)]
-            bounds = [pa.array([g[k] for g in got], pa.decimal128(30, 0)) for k in (0, 1)]
-            words = [pa.array([g[2] or g[3] for g in got], pa.string()), pa.array([g[4] for g in got], pa.string())]
+            huge = [max(g[0] or 0, g[1] or 0) >= _TOO_LARGE for g in got]
+            state = ["out_of_range" if h else "read" if g[4] else "unreadable" if t and t.strip() else "missing" for g, h, t in zip(got, huge, columns[0])]
+            got = [_NONE if h else g for g, h in zip(got, huge)]
+            bounds = [pa.array([g[k] for g in got], pa.decimal128(38, 0)) for k in (0, 1)]
+            words = [pa.array([g[2] or g[3] for g in got], pa.string()), pa.array([g[4] for g in got], pa.string()), pa.array(state, pa.string())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *bounds, *words], names=[*names, *new])
 
     return base.mapInArrow(run, shape)
@@ -247,15 +253,21 @@ def with_factors(parsed: DataFrame, rates: DataFrame, periods: DataFrame, year:
     rates(year, vnd_per_usd) and periods(pay_period, month_num, month_den) are broadcast if a
     count shows them small, else joined by shuffle. Of repeated entries the largest counts.
     """
-    r = rates.groupBy(F.col("year").cast("int").alias("__year")).agg((F.max("vnd_per_usd") * 1_000_000).cast("decimal(20,0)").alias("__rate"))
+    r = rates.groupBy(F.col("year").try_cast("int").alias("__year")).agg(F.try_multiply(F.max("vnd_per_usd"), F.lit(1_000_000)).try_cast("decimal(20,0)").alias("__rate"))
     p = periods.groupBy("pay_period").agg(F.max_by("month_num", "month_num").alias("month_num"), F.max_by("month_den", "month_num").alias("month_den"))
-    joined = parsed.join(small(r), F.col(year).cast("int") == F.col("__year"), "left").join(small(p), "pay_period", "left")
+    joined = parsed.join(small(r), F.col(year).try_cast("int") == F.col("__year"), "left").join(small(p), "pay_period", "left")
     rate = F.when(F.col("money") == base, F.lit(1_000_000).cast("decimal(20,0)")).when(F.col("money") == "USD", F.col("__rate"))
     return joined.withColumn("rate_e6", rate).drop("__year", "__rate")
 
 
 def per_month(amount_e4: Column, rate_e6: Column, num: Column, den: Column) -> Column:
-    """Base units per month as BIGINT, rounded half up once: amount x rate x num / den."""
-    top = amount_e4.cast("decimal(22,0)") * rate_e6.cast("decimal(11,0)") * num.cast("decimal(4,0)")
-    bottom = den.cast("decimal(4,0)") * F.lit(10_000_000_000).cast("decimal(11,0)")
-    return F.floor(F.try_divide(top * 2 + bottom, bottom * 2)).cast("bigint")
+    """Base units per month as BIGINT, rounded half up once: amount x rate x num / den.
+
+    Null where a factor is null or the result does not fit BIGINT; the division is exact, as what
+    does not divide evenly is taken off first.
+    """
+    whole = lambda c, digits: c.try_cast(f"decimal({digits},0)")
+    top = F.try_multiply(F.try_multiply(whole(amount_e4, 38), whole(rate_e6, 20)), 2 * whole(num, 9))
+    bottom = 2 * whole(den, 9) * F.lit(10_000_000_000).cast("decimal(11,0)")
+    raised = F.try_add(top, bottom / F.lit(2)).try_cast("decimal(38,0)")
+    return F.try_divide(raised - F.try_mod(raised, bottom), bottom).try_cast("bigint")

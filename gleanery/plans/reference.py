@@ -110,13 +110,12 @@ def a9_rate_source(spark, d):
 
 @query("SELECT s.load_id, s.id FROM source_rows s JOIN (SELECT max(load_id) AS m FROM source_rows) x ON s.load_id = x.m")
 def a15_latest_batch(spark, d):
-    rows = table(spark, d, "source_rows").select("load_id", "id").withColumn("g", F.lit(1))
-    return tables.latest_batch(rows, "g", "load_id").select("load_id", "id")
+    return tables.latest_rows(table(spark, d, "source_rows").select("load_id", "id"), "load_id")
 
 
 @query()
 def b1_file_hashes(spark, d):
-    return tables.file_hashes(spark, f"{d}/ref_values.parquet")
+    return tables.file_hashes(spark, f"{d}/*.parquet")
 
 
 # --- identity and profiles ---------------------------------------------------------------------
@@ -381,30 +380,33 @@ def c17_heading_key(spark, d):
 
 # --- grammars ----------------------------------------------------------------------------------
 
-_LOW, _UP = grammar.LOWER, grammar.UPPER
+_LOW, _UP = "trên|hơn|>=|>|ít nhất|tối thiểu|không dưới|từ", "dưới|lên đến|<=|<"
+_NUM = "([0-9]+(?:[.,][0-9]+)?)"
+_RANGE_RX = f"'^(?:từ )?{_NUM} ?(năm|tháng)? ?(?:[-–—]|đến|tới) ?{_NUM} ?(năm|tháng)$'"
+_BOUND_RX = f"'^({_LOW}|{_UP})? ?{_NUM} ?(năm|tháng) ?(trở lên|trở xuống)?$'"
 _EXPERIENCE = f"""
 WITH s AS (SELECT id, regexp_replace(lower({_strip_sql('experience_level')}), ' kinh nghiệm$', '') AS t FROM source_rows),
-r AS (SELECT id, t, regexp_matches(t, '{grammar.RANGE}') AS ranged, regexp_matches(t, '{grammar.BOUND}') AS bounded,
-  TRY_CAST(replace(regexp_extract(t, '{grammar.RANGE}', 1), ',', '.') AS DOUBLE) * CASE WHEN regexp_extract(t, '{grammar.RANGE}', 3) = 'năm' THEN 12 ELSE 1 END AS a,
-  TRY_CAST(replace(regexp_extract(t, '{grammar.RANGE}', 2), ',', '.') AS DOUBLE) * CASE WHEN regexp_extract(t, '{grammar.RANGE}', 3) = 'năm' THEN 12 ELSE 1 END AS b,
-  TRY_CAST(replace(regexp_extract(t, '{grammar.BOUND}', 2), ',', '.') AS DOUBLE) * CASE WHEN regexp_extract(t, '{grammar.BOUND}', 3) = 'năm' THEN 12 ELSE 1 END AS p,
-  coalesce(regexp_extract(t, '{grammar.BOUND}', 1), '') AS head, coalesce(regexp_extract(t, '{grammar.BOUND}', 4), '') AS tail FROM s),
-k AS (SELECT *, bounded AND (regexp_matches(head, '^({_LOW})$') OR head = '' AND tail = 'trở lên') AS is_low, bounded AND (regexp_matches(head, '^({_UP})$') OR head = '' AND tail = 'trở xuống') AS is_up FROM r),
-v AS (SELECT id, CASE WHEN coalesce(t, '') = '' THEN 'missing' WHEN t IN ({', '.join(repr(x) for x in grammar.UNKNOWN)}) THEN 'unknown'
-    WHEN t IN ({', '.join(repr(x) for x in grammar.NO_REQUIREMENT)}) THEN 'no_requirement' WHEN ranged AND a > b THEN 'invalid_bounds' WHEN ranged OR bounded THEN 'mapped' ELSE 'unmapped' END AS status,
-  CASE WHEN ranged THEN 'range' WHEN is_low THEN 'lower_bound' WHEN is_up THEN 'upper_bound' WHEN bounded THEN 'point' END AS kind,
-  CASE WHEN ranged THEN a WHEN is_up THEN 0 WHEN bounded THEN p END AS low_months, CASE WHEN ranged THEN b WHEN is_low THEN NULL WHEN bounded THEN p END AS high_months,
-  is_up AND head IN ('dưới', '<') AS high_open FROM k),
-w AS (SELECT id, status, CASE WHEN status = 'mapped' THEN kind END AS kind, CASE WHEN status = 'mapped' THEN low_months END AS low_months, CASE WHEN status = 'mapped' THEN high_months END AS high_months,
-  status = 'mapped' AND coalesce(high_open, false) AS high_open FROM v)
-SELECT *, CASE WHEN status <> 'mapped' THEN NULL WHEN low_months >= 60 THEN 'ge_5' WHEN low_months >= 0 AND (high_months < 12 OR high_months = 12 AND high_open) THEN 'lt_1'
+r AS (SELECT id, t, regexp_matches(t, {_RANGE_RX}) AS ranged, regexp_matches(t, {_BOUND_RX}) AS bounded,
+  TRY_CAST(replace(regexp_extract(t, {_RANGE_RX}, 1), ',', '.') AS DOUBLE) AS an, TRY_CAST(replace(regexp_extract(t, {_RANGE_RX}, 3), ',', '.') AS DOUBLE) AS bn, TRY_CAST(replace(regexp_extract(t, {_BOUND_RX}, 2), ',', '.') AS DOUBLE) AS pn,
+  CASE WHEN coalesce(nullif(regexp_extract(t, {_RANGE_RX}, 2), ''), regexp_extract(t, {_RANGE_RX}, 4)) = 'năm' THEN 12 ELSE 1 END AS au, CASE WHEN regexp_extract(t, {_RANGE_RX}, 4) = 'năm' THEN 12 ELSE 1 END AS bu,
+  CASE WHEN regexp_extract(t, {_BOUND_RX}, 3) = 'năm' THEN 12 ELSE 1 END AS pu, regexp_extract(t, {_BOUND_RX}, 1) AS head, regexp_extract(t, {_BOUND_RX}, 4) AS tail FROM s),
+k AS (SELECT *, an * au AS a, bn * bu AS b, pn * pu AS p, bounded AND (regexp_matches(head, '^({_LOW})$') OR tail = 'trở lên') AS is_low, bounded AND (regexp_matches(head, '^({_UP})$') OR tail = 'trở xuống') AS is_up FROM r),
+v AS (SELECT *, CASE WHEN coalesce(t, '') = '' THEN 'missing' WHEN t = 'không' THEN 'ambiguous_literal' WHEN t IN ('chưa xác định', 'chưa cập nhật') THEN 'unknown' WHEN t IN ('không yêu cầu kinh nghiệm', 'không yêu cầu', 'không cần') THEN 'no_requirement'
+    WHEN t IN ('yêu cầu ứng viên có', 'có', 'yêu cầu') THEN 'mapped' WHEN ranged THEN CASE WHEN an >= 1e9 OR bn >= 1e9 OR a > b THEN 'invalid_bounds' ELSE 'mapped' END WHEN is_low AND is_up THEN 'ambiguous'
+    WHEN bounded THEN CASE WHEN pn >= 1e9 THEN 'invalid_bounds' ELSE 'mapped' END ELSE 'unmapped' END AS status,
+  CASE WHEN t IN ('yêu cầu ứng viên có', 'có', 'yêu cầu') THEN 'required_unspecified' WHEN t IN ('không yêu cầu kinh nghiệm', 'không yêu cầu', 'không cần') THEN 'no_requirement' END AS said FROM k),
+w AS (SELECT id, status, CASE WHEN status IN ('mapped', 'no_requirement') THEN coalesce(said, CASE WHEN ranged THEN 'range' WHEN is_low THEN 'lower_bound' WHEN is_up THEN 'upper_bound' ELSE 'stated_point' END) END AS kind, said,
+  CASE WHEN status = 'mapped' AND said IS NULL THEN CASE WHEN ranged THEN a WHEN is_up THEN 0 ELSE p END END AS low_months, CASE WHEN status = 'mapped' AND said IS NULL THEN CASE WHEN ranged THEN b WHEN NOT is_low THEN p END END AS high_months,
+  status = 'mapped' AND bounded AND NOT ranged AND is_low AND head IN ('trên', 'hơn', '>') AS low_open, status = 'mapped' AND bounded AND NOT ranged AND is_up AND head IN ('dưới', '<') AS high_open FROM v)
+SELECT id, status, kind, low_months, high_months, coalesce(low_open, false) AS low_open, coalesce(high_open, false) AS high_open,
+  CASE WHEN said IS NOT NULL THEN said WHEN status <> 'mapped' THEN NULL WHEN low_months >= 60 THEN 'ge_5' WHEN low_months >= 0 AND (high_months < 12 OR high_months = 12 AND high_open) THEN 'lt_1'
   WHEN low_months >= 12 AND (high_months < 36 OR high_months = 36 AND high_open) THEN '1_lt_3' WHEN low_months >= 36 AND (high_months < 60 OR high_months = 60 AND high_open) THEN '3_lt_5' ELSE 'range_crossing' END AS bucket,
   CAST(low_months / 12 AS DOUBLE) AS low_years FROM w"""
 
 
 @query(_EXPERIENCE)
 def d1_experience(spark, d):
-    r = table(spark, d, "source_rows").select("id", grammar.experience(F.col("experience_level")).alias("r")).select("id", "r.*").drop("low_open")
+    r = table(spark, d, "source_rows").select("id", grammar.experience(F.col("experience_level")).alias("r")).select("id", "r.*")
     as_double = {c: F.col(c).cast("double") for c in ("low_months", "high_months")}
     return r.withColumn("low_years", grammar.years(F.col("low_months")).cast("double")).withColumns(as_double)
 
@@ -780,16 +782,6 @@ def l1_listing_links(spark, d):
 # --- further rules -----------------------------------------------------------------------------
 
 
-@query(
-    f"""WITH s AS (SELECT id, lower({_strip_sql('salary')}) AS t FROM source_rows), k AS (SELECT id, t, {_SHAPE} AS shape FROM s)
-SELECT id, CASE WHEN shape = 'missing' OR t IN ('đang cập nhật', 'chưa cập nhật') THEN 'missing' WHEN shape = 'negotiable' THEN 'negotiable' WHEN shape = 'other' THEN 'missing'
-  WHEN contains(t, 'hoặc') THEN 'needs_review' WHEN regexp_matches(t, 'usd|\\$|đô') AND regexp_matches(t, 'vnd|vnđ|đồng|₫') THEN 'currency_conflict'
-  WHEN NOT regexp_matches(t, 'usd|\\$|đô|vnd|vnđ|đồng|₫|[0-9]đ|triệu|trieu|tr|nghìn|ngàn|[0-9]k|[0-9]m') THEN 'missing_currency_or_scale' ELSE 'readable' END AS status FROM k"""
-)
-def d5_salary_status(spark, d):
-    return table(spark, d, "source_rows").select("id", grammar.salary_status(F.col("salary")).alias("status"))
-
-
 @query("SELECT a.id, CASE WHEN o.id IS NULL THEN a.salary ELSE 'override:' || o.salary END AS salary FROM salary_audit a LEFT JOIN (SELECT id, salary FROM salary_audit WHERE currency = '$') o ON a.id = o.id")
 def d7_keyed_override(spark, d):
     a = table(spark, d, "salary_audit").select("id", "salary")

@@ -90,3 +90,8 @@ def latest_batch(df: DataFrame, group: str, order: str) -> DataFrame:
     """The rows of each group's latest batch; with ``order`` a partition column only that is read."""
     last = df.groupBy(group).agg(F.max(order).alias("__last"))
     return df.join(last.withColumnRenamed(group, "__g"), (df[group].eqNullSafe(F.col("__g"))) & (df[order] == F.col("__last"))).drop("__g", "__last")
+
+
+def latest_rows(df: DataFrame, order: str) -> DataFrame:
+    """The rows of the latest batch of all: its number is found first and filtered for in the scan."""
+    return df.where(F.col(order) == F.lit(df.agg(F.max(order)).first()[0]))

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,11 +47,51 @@ def commit(known: DataFrame, arrived: DataFrame, key: str, fact: str) -> DataFra
 
 
 def failure_runs(events: DataFrame, run: str, order: str, failed: str) -> DataFrame:
-    """``run, n_events, failures, longest_failure_run, failure_rate`` for the rules that end a run."""
-    w = Window.partitionBy(run).orderBy(order)
-    gaps = events.withColumn("__ok", F.sum(F.when(F.col(failed), 0).otherwise(1)).over(w))
-    blocks = gaps.groupBy(run, "__ok").agg(F.count_if(F.col(failed)).alias("__f"), F.count(F.lit(1)).alias("__n"))
-    return blocks.groupBy(run).agg(F.sum("__n").alias("n_events"), F.sum("__f").alias("failures"), F.max("__f").alias("longest_failure_run")).withColumn("failure_rate", F.col("failures") / F.col("n_events"))
+    """``run, n_events, failures, longest_failure_run, failure_rate`` for the rules that end a run.
+
+    Events are range-partitioned by run and order, so a run of any size is spread; each stretch is
+    summed up as its length, its failures, and the runs of failures at its start, at its end and at
+    most, and the stretches of a run (one per partition) are put together in order. Null is no
+    failure; ties in order must agree or be broken by it.
+    """
+    kind = events.schema[run].dataType.simpleString()
+    sorted_ = events.select(F.col(run).alias("run"), F.col(order).alias("order"), F.coalesce(failed, F.lit(False)).alias("failed")).repartitionByRange("run", "order").sortWithinPartitions("run", "order")
+
+    def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept: list = []  # [run, n, failures, head, tail, most]; runs follow one another
+        for batch in batches:
+            for name, part in batch.groupby("run", sort=False, dropna=False):
+                x = part["failed"].to_numpy(bool)
+                ok = np.flatnonzero(~x)
+                edges = np.diff(np.concatenate(([-1], ok, [len(x)]))) - 1
+                one = [name, len(x), int(x.sum()), int(edges[0]), int(edges[-1]), int(edges.max())]
+                if kept and (kept[-1][0] == name or pd.isna(name) and pd.isna(kept[-1][0])):
+                    kept[-1] = [name, *_joined(kept[-1][1:], one[1:])]
+                else:
+                    kept.append(one)
+        yield pd.DataFrame(kept, columns=["run", "n", "failures", "head", "tail", "most"])
+
+    met = sorted_.mapInPandas(stretches, f"run {kind}, n long, failures long, head long, tail long, most long").withColumn("place", F.spark_partition_id())
+    parts = met.groupBy("run").agg(F.array_sort(F.collect_list(F.struct("place", "n", "failures", "head", "tail", "most"))).alias("parts"))  # at most one per partition
+    field = lambda x, k: x.getField(k)
+
+    def merged(a, b):
+        whole = lambda x: field(x, "failures") == field(x, "n")
+        return F.struct(
+            field(b, "place").alias("place"), (field(a, "n") + field(b, "n")).alias("n"), (field(a, "failures") + field(b, "failures")).alias("failures"),
+            F.when(whole(a), field(a, "n") + field(b, "head")).otherwise(field(a, "head")).alias("head"), F.when(whole(b), field(b, "n") + field(a, "tail")).otherwise(field(b, "tail")).alias("tail"),
+            F.greatest(field(a, "most"), field(b, "most"), field(a, "tail") + field(b, "head")).alias("most"),
+        )
+
+    zero = F.struct(F.lit(-1).alias("place"), *[F.lit(0).cast("long").alias(k) for k in ("n", "failures", "head", "tail", "most")])
+    done = parts.select(F.col("run").alias(run), F.aggregate("parts", zero, merged).alias("__r"))
+    return done.select(run, F.col("__r.n").alias("n_events"), F.col("__r.failures").alias("failures"), F.col("__r.most").alias("longest_failure_run"), (F.col("__r.failures") / F.col("__r.n")).alias("failure_rate"))
+
+
+def _joined(a: list, b: list) -> list:
+    """Two neighbouring stretches as one: events, failures, failures at the start, at the end, at most in a row."""
+    (n, f, head, tail, most), (m, g, start, end, other) = a, b
+    return [n + m, f + g, n + start if f == n else head, m + tail if g == m else end, max(most, other, tail + start)]
 
 
 class _Changes(StatefulProcessor):

@@ -38,11 +38,14 @@ def test_urls_dates_and_integers(spark):
 
 
 def test_experience(spark):
+    none = (None, None, None, None)
     cases = {
         "1 - 3 năm": ("mapped", "range", 12, 36, "range_crossing"), "Dưới 3 năm": ("mapped", "upper_bound", 0, 36, "range_crossing"), "Trên 5 năm": ("mapped", "lower_bound", 60, None, "ge_5"),
-        "6 tháng": ("mapped", "point", 6, 6, "lt_1"), "5 - 3 năm": ("invalid_bounds", None, None, None, None), "Không yêu cầu": ("no_requirement", None, None, None, None),
-        "2 năm kinh nghiệm": ("mapped", "point", 24, 24, "1_lt_3"), "hai năm": ("unmapped", None, None, None, None), " ": ("missing", None, None, None, None), "1 năm trở lên": ("mapped", "lower_bound", 12, None, "range_crossing"),
-        "dưới 1 năm": ("mapped", "upper_bound", 0, 12, "lt_1"), "trên 1 năm trở xuống": ("ambiguous", None, None, None, None),
+        "6 tháng": ("mapped", "stated_point", 6, 6, "lt_1"), "5 - 3 năm": ("invalid_bounds", *none), "Không yêu cầu": ("no_requirement", "no_requirement", None, None, "no_requirement"),
+        "2 năm kinh nghiệm": ("mapped", "stated_point", 24, 24, "1_lt_3"), "hai năm": ("unmapped", *none), " ": ("missing", *none), "1 năm trở lên": ("mapped", "lower_bound", 12, None, "range_crossing"),
+        "dưới 1 năm": ("mapped", "upper_bound", 0, 12, "lt_1"), "trên 1 năm trở xuống": ("ambiguous", *none), "1 năm - 18 tháng": ("mapped", "range", 12, 18, "1_lt_3"), "6 tháng đến 2 năm": ("mapped", "range", 6, 24, "range_crossing"),
+        "từ 0,5 – 1 năm": ("mapped", "range", 6, 12, "range_crossing"), "Không": ("ambiguous_literal", *none), "Có": ("mapped", "required_unspecified", None, None, "required_unspecified"), "Chưa cập nhật": ("unknown", *none),
+        "3 năm - 18 tháng": ("invalid_bounds", *none), "dưới 1 năm trở lên": ("ambiguous", *none), **{f"{'9' * n} năm": ("invalid_bounds", *none) for n in (10, 13, 20, 60)}, f"1 - {'9' * 20} tháng": ("invalid_bounds", *none),
     }
     df = spark.createDataFrame([(k,) for k in cases] + [(None,)], "t string").select("t", grammar.experience(F.col("t")).alias("r")).select("t", "r.*")
     for r in df.collect():
@@ -187,3 +190,31 @@ def test_stream_windows_hold_the_last_hours(spark, data):
 
     want = sorted(map(tuple, QUERIES["m_hourly_windows"](spark, data).select("hour", "event_type", "n").collect()))
     assert want and sorted(map(tuple, QUERIES["m_stream_windows"](spark, data).select("window_start", "event_type", "n").collect())) == want
+
+
+def test_failure_runs_equal_a_plain_scan(spark):
+    from random import Random
+
+    rng = Random(4)
+    rows = [(rng.choice(["hot", "hot", "hot", "b", None]), i, rng.random() < (0.9 if i % 400 < 120 else 0.2) or None) for i in range(4000)]
+    want = {}
+    for name in {r[0] for r in rows}:
+        x = [bool(r[2]) for r in rows if r[0] == name]
+        longest = now = 0
+        for f in x:
+            now = now + 1 if f else 0
+            longest = max(longest, now)
+        want[name] = (len(x), sum(x), longest)
+    df = spark.createDataFrame(rows, "r string, o int, f boolean").repartition(7)
+    assert {r.r: (r.n_events, r.failures, r.longest_failure_run) for r in state.failure_runs(df, "r", "o", "f").collect()} == want
+    assert state.failure_runs(df.limit(0), "r", "o", "f").collect() == []
+
+
+def test_roll_up_follows_long_chains_and_finds_cycles(spark):
+    chain = spark.range(300).selectExpr("concat('n', id) as child", "concat('n', id + 1) as parent")
+    got = {r.label: (r.root, r.steps) for r in labels.roll_up(spark, chain).collect()}
+    assert got["n0"] == ("n300", 300) and got["n300"] == ("n300", 0) and len(got) == 301
+    for bad in ([("a", "b"), ("b", "c"), ("c", "a")], [("a", "b"), ("a", "c")], [("a", "a")]):
+        with pytest.raises(ValueError):
+            labels.roll_up(spark, spark.createDataFrame(bad, "child string, parent string"))
+    assert labels.roll_up(spark, chain.limit(0)).collect() == []

@@ -5,10 +5,10 @@ import os
 import duckdb
 import pytest
 
-from gleanery.plans import reference, training
+from gleanery.plans import records, reference, training
 
-ALL = {k: f for m in (reference, training) for k, f in m.QUERIES.items()}
-SQL = {k: s for m in (reference, training) for k, s in m.SQL.items()}
+ALL = {k: f for m in (reference, records, training) for k, f in m.QUERIES.items()}
+SQL = {k: s for m in (reference, records, training) for k, s in m.SQL.items()}
 
 
 @pytest.fixture(scope="module")

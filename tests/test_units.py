@@ -48,3 +48,22 @@ def test_conversion_rounds_half_up_once(spark):
     got = {r["id"]: r["v"] for r in out.select("id", per_month(F.col("low_e4"), F.col("rate_e6"), F.col("month_num"), F.col("month_den")).alias("v")).collect()}
     assert got == {1: 101465, 2: 1, 3: 0, 4: None, 5: None, 6: None}
     assert parse_quantities(df.limit(0), "s", None, None).collect() == []
+
+
+def test_numbers_of_any_length_have_a_result(spark):
+    rates = spark.createDataFrame([(2024, Decimal("25000.000000"))], "year int, vnd_per_usd decimal(18,6)")
+    periods = spark.createDataFrame([("month", 1, 1), ("year", 1, 12), ("hour", 208, 1)], "pay_period string, month_num long, month_den long")
+    rows = [(n, f"{'9' * n} {unit}", unit) for n in range(10, 41) for unit in ("đồng", "tỷ", "$/h")] + [(0, "912345678901 tỷ", "tỷ"), (1, "999999999999999 triệu", "triệu"), (2, "x", ""), (3, " ", "")]
+    df = spark.createDataFrame(rows, "id long, s string, unit string").withColumn("year", F.lit(2024).cast("long"))
+    out = with_factors(parse_quantities(df, "s", None, None), rates, periods)
+    got = {(r.id, r.unit): r for r in out.select("*", per_month(F.col("low_e4"), F.col("rate_e6"), F.col("month_num"), F.col("month_den")).alias("v")).collect()}
+    most = 2**63 - 1
+    for (n, unit), r in got.items():
+        if n >= 10:
+            want = (10**n - 1) * {"đồng": 1, "tỷ": 10**9, "$/h": 25000 * 208}[unit]
+            assert r.v == (want if want <= most else None), (n, unit)
+            assert r.reading == ("read" if (10**n - 1) * {"đồng": 1, "tỷ": 10**9, "$/h": 1}[unit] * 10_000 < 10**38 else "out_of_range")
+    assert got[0, "tỷ"].v is None and got[0, "tỷ"].reading == "read" and got[1, "triệu"].v is None
+    assert (got[2, ""].reading, got[3, ""].reading) == ("unreadable", "missing")
+    far = with_factors(parse_quantities(df.withColumn("year", F.lit(10**15)), "s", None, None), rates, periods)
+    assert far.where("unit = '$/h' and rate_e6 is not null").count() == 0
