@@ -33,7 +33,7 @@ OTHER_TYPES = {"Remote": "remote", "Từ xa": "remote", "Theo ca": "shift"}
 SKILLS = [
     ("sql", "SQL"), ("python", "Python"), ("pivotix", "Pivotix"), ("lumetra", "Lumetra"), ("kestrel_erp", "Kestrel ERP"), ("orbiton_crm", "Orbiton CRM"), ("crm", "CRM"), ("figtree", "Figtree"),
     ("zoran", "phần mềm kho Zoran"), ("harrow", "hệ thống vé Harrow"), ("cnc", "máy CNC"), ("cnc", "CNC"), ("forklift", "xe nâng"), ("scale", "cân điện tử"), ("spreadsheet", "bảng tính"), ("ro_filter", "bộ lọc RO"),
-    ("multimeter", "đồng hồ vạn năng"), ("spectrometer", "máy đo quang phổ"), ("english", "tiếng Anh"), ("topik", "TOPIK"),
+    ("multimeter", "đồng hồ vạn năng"), matching.Alias("rest_api", "REST", needs=r"\bAPI\b|HTTP|tích hợp"), matching.Alias("office", "office", not_before=r"\b(?:front|back|head)[ -]*", doubtful=True), ("spectrometer", "máy đo quang phổ"), ("english", "tiếng Anh"), ("topik", "TOPIK"),
 ]
 IMPLIED = {"orbiton_crm": ("crm",)}
 
@@ -707,6 +707,19 @@ def k9_skill_status(spark, d):
     return _matched(spark, d).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query()
+def k7_clauses(spark, d):
+    """The clauses of every document with the section they stand in."""
+    return matching.clause_rows(table(spark, d, "documents"), "doc_id", "text")
+
+
+@query()
+def k8_contexts(spark, d):
+    """How often each skill stands in each context, and by which rule."""
+    e = _matched(spark, d).select(F.explode("evidence").alias("e"))
+    return e.groupBy("e.code", "e.context", "e.rule", "e.logic").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "SELECT doc_id, regexp_matches(lower(text), '\\bsql\\b') AS has_sql, regexp_matches(lower(text), '\\bpython\\b') AS has_python FROM documents WHERE text IS NOT NULL"
 )
