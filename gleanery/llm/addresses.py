@@ -2,9 +2,9 @@
 
 An address is read into house number (with suffix), street line and province; ward, district,
 floor, room and building are set aside. Equal readings are collapsed; candidates come from
-MinHash banding over token and q-gram shingles (number and province in every band key); each candidate is verified by an affine-gap
-alignment of its tokens whose substitution costs know abbreviations; verified readings are
-clustered into stars.
+MinHash banding over token and q-gram shingles (number and province, in which no two readings of
+one place differ, stand in every band key too); an affine-gap alignment of tokens whose
+substitution costs know abbreviations decides; verified readings are clustered into stars.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from gleanery.llm.canonical import Mapper
 from gleanery.llm.folding import fold
 from gleanery.llm.minhash import bands_for, edits, grams
-from gleanery.llm.names import candidate_pairs, respace, stars
-from gleanery.session import cut
+from gleanery.llm.names import BAND, candidate_pairs, respace, stars
+from gleanery.session import cut, small
 
 # What opens the parts of an address, folded.
 ROOM = re.compile(r"^(?:p\.?\s*\d{3,}|phong\s*\d+|room\s*\d+|(?:tang|lau|floor|toa nha|toa|cao oc|building|block|can ho)\b)")
@@ -29,8 +29,13 @@ AREA = re.compile(r"^(?:(?:phuong|xa|ward|quan|huyen|thi xa|thi tran|district)\b
 LEAD = re.compile(r"^(?:vp|van phong|dia chi|dc|noi lam viec|tru so|chi nhanh|tai)\s*:\s*")
 NUMBER = re.compile(r"^(?:so nha|nha so|so|sn|no)?\.?\s*(\d+[a-z]?(?:\s*/\s*\d+[a-z]?)*)(?![\w/])\s*(.*)$")
 # Abbreviations of street words, folded.
-ABBREVIATIONS = {"d": "duong", "dg": "duong", "str": "street", "st": "street", "sn": "so", "no": "so"}
-TYPES = {"duong", "street", "pho", "so"}
+ABBREVIATIONS = {
+    "d": "duong", "dg": "duong", "duog": "duong", "ph": "pho", "str": "street", "st": "street", "rd": "road", "ave": "avenue", "av": "avenue", "blvd": "boulevard", "ln": "lane", "al": "alley",
+    "dl": "dailo", "qlo": "quoclo", "ql": "quoclo", "tl": "tinhlo", "hl": "huonglo", "ng": "ngo", "h": "hem", "sn": "so", "no": "so", "n": "north", "s": "south", "e": "east", "w": "west",
+}
+TYPES = {"duong", "street", "pho", "so", "road", "avenue", "boulevard", "lane", "alley"}
+#: What an edited letter costs, where a whole word costs 1; and what two readings of one place may cost.
+LETTER, COST = 0.3, 0.65
 
 
 @lru_cache(1 << 16)
@@ -62,8 +67,9 @@ def parse_address(address: str) -> tuple[str, str, str] | None:
 def align(a: Sequence[str], b: Sequence[str], opening: float = 1.0, extending: float = 0.5) -> float:
     """Cost of the best affine-gap alignment of two token lists.
 
-    Equal tokens and abbreviations of the same word cost nothing, others their share of edited
-    letters, numbers that differ are never aligned; gaps of street words cost a tenth.
+    Equal tokens and abbreviations of the same word cost nothing, others ``LETTER`` for each edited
+    letter, or 1 if more than two thirds are, numbers that differ are never aligned; gaps of
+    street words cost a tenth.
     """
     a, b = [ABBREVIATIONS.get(x, x) for x in a], [ABBREVIATIONS.get(x, x) for x in b]
     far = float("inf")
@@ -71,9 +77,12 @@ def align(a: Sequence[str], b: Sequence[str], opening: float = 1.0, extending: f
     def swap(x: str, y: str) -> float:
         if x == y:
             return 0.0
-        if x[0].isdigit() or y[0].isdigit():
+        if x[:1].isdigit() or y[:1].isdigit():
             return far
-        return 0.1 if x in TYPES and y in TYPES else 2.0 if x in TYPES or y in TYPES else edits(x, y, 9) / max(len(x), len(y))
+        if x in TYPES or y in TYPES:
+            return 0.1 if x in TYPES and y in TYPES else 2.0
+        wrong = edits(x, y, 9)
+        return LETTER * wrong if 3 * wrong <= 2 * max(len(x), len(y)) else 1.0
 
     def gap(x: str, goes_on: bool) -> float:
         return (extending if goes_on else opening) * (0.1 if x in TYPES else 1.0)
@@ -94,17 +103,16 @@ def align(a: Sequence[str], b: Sequence[str], opening: float = 1.0, extending: f
     return min(match[n][m], up[n][m], side[n][m])
 
 
-def same_place(a: str, b: str, most: float = 1.0) -> float:
+def same_place(a: str, b: str, most: float = COST) -> float:
     """Similarity of two readings ``province|number|street words``; 0 if they are different places."""
     (pa_, na, sa), (pb, nb, sb) = a.split("|"), b.split("|")
     if pa_ != pb or na != nb:
         return 0.0
     wa, wb = sa.split(), sb.split()
-    if len(wa) != len(wb):
-        wa, wb = (respace(wa, wb), wb) if len(wa) < len(wb) else (wa, respace(wb, wa))
-    if edits("".join(wa), "".join(wb), 2) > 2:
-        return 0.0
     cost = align(["so", na.lower(), *wa], ["so", nb.lower(), *wb])
+    if cost > 0 and len(wa) != len(wb):  # one of them may be glued
+        wa, wb = (respace(wa, wb), wb) if len(wa) < len(wb) else (wa, respace(wb, wa))
+        cost = min(cost, align(["so", na.lower(), *wa], ["so", nb.lower(), *wb]))
     return 1 / (1 + cost) if cost <= most else 0.0
 
 
@@ -114,8 +122,12 @@ def _province(location: str | None, find) -> int:
     return next((p for x in parts if not AREA.match(fold(x)) and (p := find(x))), 0)
 
 
-def _shingles(reading: str) -> set[str]:
-    return grams(reading.rpartition("|")[2].replace(" ", ""), 3)
+def shingles(reading: str) -> set[str]:
+    """Tokens (province, number, words written out) and the trigrams of the street's letters."""
+    province, number, street = reading.split("|")
+    full = [ABBREVIATIONS.get(w, w) for w in street.split()]
+    named = [w for w in full if w not in TYPES] or full
+    return {f"@{province}", f"#{number}", *(f"={w}" for w in named)} | grams("".join(named), 3)
 
 
 def _tokens(reading: str) -> str:
@@ -123,6 +135,10 @@ def _tokens(reading: str) -> str:
     return reading.rpartition("|")[0]
 
 
+#: The least Jaccard similarity of two spellings that align is about 0.3 (two edits in eight letters).
+BANDINGS = ((shingles, bands_for(0.3, 0.95, 2), 2),)
+
+
 def link_addresses(records: DataFrame, key: str, address: str, location: str, places: list) -> DataFrame:
     """``record, place``: the place each record's address denotes.
 
@@ -147,8 +163,7 @@ def link_addresses(records: DataFrame, key: str, address: str, location: str, pl
     kind = picked.schema["record"].dataType.simpleString()
     read = cut(picked.where(F.col("record").isNotNull()).mapInArrow(run, f"record {kind}, reading string"))
     nodes = cut(read.groupBy(F.col("reading").alias("node")).agg(F.count(F.lit(1)).alias("n")))
-    rows = 2
-    pairs = candidate_pairs(nodes, "node", _shingles, bands_for(0.4, 0.98, rows), rows, _tokens)
+    pairs = candidate_pairs(nodes, "node", BANDINGS, _tokens)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,7 +176,10 @@ def link_addresses(records: DataFrame, key: str, address: str, location: str, pl
 
 
 def same_place_pairs(linked: DataFrame, a: str, b: str) -> DataFrame:
-    """Each pair ``a < b`` of records at one place."""
-    left = linked.select("place", F.col("record").alias(a))
-    right = linked.select("place", F.col("record").alias(b))
-    return left.join(right, "place").where(F.col(a) < F.col(b)).select(a, b)
+    """Each pair ``a < b`` of records at one place; a place of many records is cut into squares."""
+    blocks = linked.groupBy("place").agg(F.ceil(F.count(F.lit(1)) / BAND).cast("int").alias("m")).where("m > 1")
+    placed = linked.join(small(blocks), "place", "left").withColumn("m", F.coalesce("m", F.lit(1))).withColumn("__x", F.pmod(F.xxhash64("record"), F.col("m")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("m") - 1))
+    left = placed.select("place", F.col("record").alias(a), "__x", every.alias("__y"))
+    right = placed.select("place", F.col("record").alias(b), F.col("__x").alias("__y"), every.alias("__x"))
+    return left.join(right, ["place", "__x", "__y"]).where(F.col(a) < F.col(b)).select(a, b)

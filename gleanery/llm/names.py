@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from gleanery.llm.folding import words
 from gleanery.llm.minhash import Banding, bands_for, edits, grams
-from gleanery.session import cut
+from gleanery.session import cut, keep, small
 
 # Words of legal forms and what may trail a name, folded, without spaces.
 LEGAL = (
@@ -54,6 +54,12 @@ _BUSINESS = {alias: line for line, aliases in BUSINESS.items() for alias in alia
 _LEGAL = set(LEGAL)
 _HEADS, _TAILS = ({k: [a for a in _BUSINESS if len(a) >= 7 and f(a) == k] for k in map(f, _BUSINESS)} for f in (lambda a: a[:3], lambda a: a[-3:]))
 _LONGEST = 5
+#: Proper parts this similar may be one: an edit in six letters.
+SIMILARITY = 0.83
+#: With their words in another order they must be this similar.
+MOVED = 0.9
+#: Values of one band that meet in one task.
+BAND = 500
 #: A word that sound names hold this many times less often than the word it is held against is no regular word.
 RARER = 10
 
@@ -95,11 +101,18 @@ def _near(part: str) -> str:
     return next((_BUSINESS[alias] for alias in likely if edits(part, alias, 1) <= 1), "")
 
 
+@lru_cache(1 << 18)
+def alike(a: str, b: str) -> float:
+    """Edit similarity of two words."""
+    return 1 - edits(a, b, 99) / max(len(a), len(b))
+
+
 def monge_elkan(a: Sequence[str], b: Sequence[str]) -> float:
-    """Symmetric Monge-Elkan similarity of two word lists over edit similarity, lesser direction."""
+    """Monge-Elkan similarity of two word lists over edit similarity, the lesser of both directions;
+    words weigh as many letters as they have."""
 
     def one(x: Sequence[str], y: Sequence[str]) -> float:
-        return sum(max(1 - edits(p, q, 9) / max(len(p), len(q)) for q in y) for p in x) / len(x)
+        return sum(len(p) * max(alike(p, q) for q in y) for p in x) / sum(map(len, x))
 
     return min(one(a, b), one(b, a)) if a and b else 0.0
 
@@ -126,45 +139,71 @@ def respace(glued: Sequence[str], like: Sequence[str]) -> list[str]:
     return out[::-1]
 
 
-def same_proper(a: str, b: str, most: int = 2, similarity: float = 0.75) -> float:
-    """Similarity of two proper parts, 0 if they are no variants of each other."""
-    ga, gb = a.replace(" ", ""), b.replace(" ", "")
-    if ga == gb:
-        return 1.0
-    d = edits(ga, gb, most)
-    if d > most or d == 2 and min(len(ga), len(gb)) < 10 or d == 1 and min(len(ga), len(gb)) < 5:
+def in_order(a: Sequence[str], b: Sequence[str]) -> float:
+    """Edit similarity of two word lists word by word, 0 if they have different lengths."""
+    if len(a) != len(b):
         return 0.0
+    return sum(max(len(p), len(q)) * alike(p, q) for p, q in zip(a, b)) / sum(max(len(p), len(q)) for p, q in zip(a, b))
+
+
+def same_proper(a: str, b: str, similarity: float = SIMILARITY, moved: float = MOVED) -> tuple[float, bool]:
+    """(Monge-Elkan similarity of two proper parts, whether their words stand in another order).
+
+    Words are compared as they are spaced, or with one part spaced like the other. The similarity is
+    0 below ``similarity``, and below ``moved`` if the order differs.
+    """
     wa, wb = a.split(), b.split()
-    if len(wa) < len(wb):
-        wa = respace(wa, wb)
-    elif len(wb) < len(wa):
-        wb = respace(wb, wa)
-    s = monge_elkan(wa, wb)
-    return s if s >= similarity else 0.0
+    forms = [(wa, wb)] + ([(respace(wa, wb), wb)] if len(wa) < len(wb) else [(wa, respace(wb, wa))] if len(wb) < len(wa) else [])
+    s, x, y = max((monge_elkan(x, y), x, y) for x, y in forms)
+    if s < similarity:
+        return 0.0, False
+    ordered = in_order(x, y) >= similarity - 0.05
+    return (s, False) if ordered else (s if s >= moved else 0.0, True)
+
+
+def letters(proper: str) -> set[str]:
+    """Trigrams of the letters without spaces: the same for glued spellings."""
+    return grams(proper.replace(" ", ""), 3)
+
+
+def word_letters(proper: str) -> set[str]:
+    """Bigrams of each word: the same in any order of words."""
+    return set().union(*(grams(w, 2) for w in proper.split()))
 
 
-def candidate_pairs(keys: DataFrame, column: str, shingler, bands: int, rows: int, block=None) -> DataFrame:
+#: The least Jaccard similarity of two sound spellings by letters is about 0.4 (two edits in twelve
+#: letters), that of reordered words with an error 0.7.
+BANDINGS = ((letters, bands_for(0.4, 0.92, 4), 4), (word_letters, bands_for(0.7, 0.95, 4), 4))
+
+
+def candidate_pairs(keys: DataFrame, column: str, bandings: Sequence[tuple], block=None) -> DataFrame:
     """Pairs ``a < b`` of distinct values of ``column`` that share a band; each pair once.
 
-    ``block(value)`` names tokens that must be equal besides; they become part of each band's key.
+    ``bandings``: (shingler, bands, rows) each. ``block(value)`` names tokens that must be equal
+    besides; they become part of each band's key. A band of more than ``BAND`` values is cut into
+    squares of at most that many on each side, which meet in tasks of their own: none is dropped.
     """
+    each = sum(bands for _, bands, _ in bandings)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        banding = Banding(bands, rows)
+        made = [(shingler, Banding(bands, rows, seed)) for seed, (shingler, bands, rows) in enumerate(bandings, 7)]
         for batch in batches:
             for start in range(0, batch.num_rows, 2000):
                 values = batch.column(0).slice(start, 2000)
-                ks = [banding.keys(shingler(v)) ^ (_token_hash(block(v)) if block else np.int64(0)) for v in values.to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [values.take(pa.array([i for i in range(len(ks)) for _ in range(bands)], pa.int32())), pa.array([int(k) for x in ks for k in x], pa.int64())],
-                    names=["v", "band"],
-                )
+                ks = [np.concatenate([banding.keys(shingler(v)) for shingler, banding in made]) ^ (_token_hash(block(v)) if block else np.int64(0)) for v in values.to_pylist()]
+                yield pa.RecordBatch.from_arrays([values.take(pa.array(np.repeat(np.arange(len(ks)), each))), pa.array(np.concatenate(ks))], names=["v", "band"])
 
     # Hashing and verifying cost far more than their bytes tell, so both get a fixed number of tasks.
     tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     banded = keys.select(F.col(column).alias("v")).repartition(tasks, "v").mapInArrow(run, "v string, band long")
-    a, b = banded.withColumnRenamed("v", "a"), banded.withColumnRenamed("v", "b")
-    return a.join(b, "band").where("a < b").select("a", "b").repartition(tasks, "a", "b").distinct()
+    met = keep(banded)
+    shared = met.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", F.ceil(F.col("n") / BAND).cast("int").alias("m"))
+    placed = met.join(shared, "band").withColumn("x", F.pmod(F.xxhash64("v"), F.col("m")).cast("int"))
+    whole = F.sequence(F.lit(0), F.col("m") - 1)
+    a = placed.select("band", F.col("v").alias("a"), "x", F.explode(F.slice(whole, F.col("x") + 1, F.col("m"))).alias("y"))
+    b = placed.select("band", F.col("v").alias("b"), F.col("x").alias("y"), F.explode(F.slice(whole, F.lit(1), F.col("x") + 1)).alias("x"))
+    pairs = a.join(b, ["band", "x", "y"]).where((F.col("a") < F.col("b")) | (F.col("x") < F.col("y")))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).repartition(tasks, "a", "b").distinct()
 
 
 def _token_hash(token: str) -> np.int64:
@@ -175,11 +214,24 @@ def _verified(pairs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            got = [same_proper(a, b) for a, b in both]
+            keep_ = pa.array([s > 0 for s, _ in got], pa.bool_())
+            both, got = [x for x, g in zip(both, got) if g[0] > 0], [g for g in got if g[0] > 0]
             counted = [(Counter(a.split()), Counter(b.split())) for a, b in both]
             own = [pa.array([list(x[i] - x[1 - i]) for x in counted], pa.list_(pa.string())) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([same_proper(a, b) for a, b in both], pa.float64()), *own], names=["a", "b", "sim", "own_a", "own_b"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).filter(keep_), batch.column(1).filter(keep_), pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.bool_()), *own], names=["a", "b", "sim", "moved", "own_a", "own_b"]
+            )
+
+    return pairs.mapInArrow(run, "a string, b string, sim double, moved boolean, own_a array<string>, own_b array<string>")
+
 
-    return pairs.mapInArrow(run, "a string, b string, sim double, own_a array<string>, own_b array<string>").where("sim > 0")
+def agreed(edges: DataFrame, keys: DataFrame) -> DataFrame:
+    """The edges without those between parts in another word order that do not state the same lines
+    of business: names are made of few words, and another order alone is often another name."""
+    lines = keys.select("proper", "lines")
+    moved = edges.where("moved").join(lines.select(F.col("proper").alias("a"), F.col("lines").alias("la")), "a").join(lines.select(F.col("proper").alias("b"), F.col("lines").alias("lb")), "b")
+    return edges.where("not moved").unionByName(moved.where(F.col("la") == F.col("lb")).select(*edges.columns))
 
 
 def unlike(edges: DataFrame, nodes: DataFrame, rank: Column) -> DataFrame:
@@ -274,11 +326,10 @@ def link_names(names: DataFrame, column: str = "name", weight: str | None = None
             F.max_by("proper", F.struct(F.length("proper"), F.col("n"), F.col("proper"))).alias("proper"),
             F.sum("n").alias("n"),
             F.count(F.lit(1)).alias("spellings"),
+            F.array_sort(F.collect_set(F.nullif("line", F.lit("")))).alias("lines"),  # of a dozen lines at most
         )
     )
-    rows = 4
-    pairs = candidate_pairs(keys, "proper", _shingles, bands_for(0.45, 0.96, rows), rows)
-    edges = cut(_verified(pairs))
+    edges = cut(agreed(cut(_verified(candidate_pairs(keys, "proper", BANDINGS))), keys))
     nodes = keys.withColumnRenamed("proper", "node")
     rank = F.struct("spellings", "n")
     edges = cut(edges.join(unlike(edges, nodes, rank), ["a", "b"], "left_anti").select("a", "b", "sim"))
@@ -294,14 +345,16 @@ def link_names(names: DataFrame, column: str = "name", weight: str | None = None
     )
 
 
-def _shingles(proper: str) -> set[str]:
-    return grams(proper.replace(" ", ""), 3)
-
-
 def same_name_pairs(linked: DataFrame) -> DataFrame:
-    """Each pair ``name_a < name_b`` (code points) of spellings of one company."""
-    a = linked.select("company", F.col("name").alias("name_a"))
-    b = linked.select("company", F.col("name").alias("name_b"))
-    return a.join(b, "company").where("name_a < name_b").select("name_a", "name_b")
-
+    """Each pair ``name_a < name_b`` (code points) of spellings of one company.
 
+    A company with many spellings is cut into squares of ``BAND`` spellings, so that its pairs are
+    made in many tasks.
+    """
+    blocks = linked.groupBy("company").agg(F.ceil(F.count(F.lit(1)) / BAND).cast("int").alias("m")).where("m > 1")
+    placed = linked.select("company", "name").join(small(blocks), "company", "left").withColumn("m", F.coalesce("m", F.lit(1)))
+    placed = placed.withColumn("x", F.pmod(F.xxhash64("name"), F.col("m")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("m") - 1))
+    a = placed.select("company", F.col("name").alias("name_a"), "x", every.alias("y"))
+    b = placed.select("company", F.col("name").alias("name_b"), F.col("x").alias("y"), every.alias("x"))
+    return a.join(b, ["company", "x", "y"]).where("name_a < name_b").select("name_a", "name_b")

@@ -84,18 +84,71 @@ def test_stars_cover_every_node(spark):
     assert got == {"a": "a", "b": "a", "c": "c", "d": "c", "e": "e", "f": "f"}
 
 
+SYLLABLES = [c + v for c in "b c d g h k l m n p q r s t v x th ph ng nh tr kh".split() for v in "a an anh inh o ong ung ien uong i ai ao".split()]
+
+
+def accepted_pairs(rng, join, accept, each=150):
+    """Random spellings of random names that the verifier accepts, by letters of the name."""
+    out = defaultdict(list)
+    while len(out) < 4 or min(map(len, out.values())) < each:
+        words_ = [rng.choice(SYLLABLES) for _ in range(rng.randrange(2, 6))]
+        other = list(words_)
+        for _ in range(rng.randrange(1, 3)):
+            j = rng.randrange(len(other))
+            w = other[j]
+            i, c = rng.randrange(len(w)), rng.choice("abcdeghiklmnopqrstuvxy")
+            other[j] = rng.choice([w[:i] + c + w[i + 1 :], w[:i] + w[i + 1 :] or w, w[:i] + c + w[i:], w[:i] + w[i + 1 : i + 2] + w[i] + w[i + 2 :]])
+        if rng.random() < 0.15:
+            rng.shuffle(other)
+        n = min(sum(map(len, words_)) // 4 * 4, 16)
+        a, b = join(words_), join(other)
+        if n >= 4 and a != b and accept(a, b):
+            out[n].append((a, b))
+    return out
+
+
+@pytest.mark.parametrize(
+    "bandings, join, accept",
+    [(names.BANDINGS, " ".join, lambda a, b: names.same_proper(a, b)[0] > 0), (addresses.BANDINGS, lambda w: "7|12B|" + " ".join(w), lambda a, b: addresses.same_place(a, b) > 0)],
+)
+def test_banding_finds_nine_of_ten_accepted_pairs_of_every_length(bandings, join, accept):
+    made = [(f, Banding(bands, rows, seed)) for seed, (f, bands, rows) in enumerate(bandings, 7)]
+    keys = lambda v: {k for f, m in made for k in m.keys(f(v)).tolist()}
+    for n, pairs in accepted_pairs(random.Random(3), join, accept).items():
+        assert sum(not keys(a).isdisjoint(keys(b)) for a, b in pairs) >= 0.9 * len(pairs), n
+
+
+def test_similarity_decides(spark):
+    assert names.same_proper("minh anh hoa", "hoa minh anh") == (1.0, True)
+    assert names.same_proper("sam an quoc doan", "sam an qoc doan") == (pytest.approx(12 / 13), False)
+    assert names.same_proper("sam an quoc doan", "samanqoc doan")[0] > 0.9 and names.same_proper("minh anh", "minh anh hoa")[0] == 0 and names.same_proper("lan anh", "ba vu")[0] == 0
+    rows = [("Công ty Du lịch Minh Anh Hoa Vy",), ("Hoa Vy Minh Anh Travel",), ("Công ty Lộc Kiên Sơn Hải",), ("Sơn Hải Lộc Kiên Pharma",)]
+    of = {r.name: r.company for r in names.link_names(spark.createDataFrame(rows, "name string")).collect()}
+    assert of[rows[0][0]] == of[rows[1][0]] and of[rows[2][0]] != of[rows[3][0]]  # another order only with the same line of business
+
+
+def test_hot_bands_and_companies_lose_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(names, "BAND", 7)
+    values = [f"v{i}" for i in range(60)]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    found = [tuple(r) for r in names.candidate_pairs(df, "v", ((lambda v: {"same"}, 2, 1),)).collect()]
+    want = {(a, b) for a in values for b in values if a < b}
+    assert len(found) == len(want) and set(found) == want
+    linked = df.selectExpr("v as name", "'c' as company")
+    got = [tuple(r) for r in names.same_name_pairs(linked).collect()]
+    assert len(got) == len(want) and set(got) == want
+    monkeypatch.setattr(addresses, "BAND", 7)
+    got = [tuple(r) for r in addresses.same_place_pairs(df.selectExpr("v as record", "'p' as place"), "a", "b").collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_name_candidates_hold_all_close_pairs(spark):
     rng = random.Random(2)
-    base = ["".join(rng.choice("bcdghklmnpqstvx") + rng.choice(["a", "an", "inh", "o", "uong", "i"]) for _ in range(4)) for _ in range(150)]
-    typos = []
-    for w in base:
-        i = rng.randrange(len(w))
-        typos.append(w[:i] + rng.choice("xyz") + w[i + 1 :])
-    values = sorted({*base, *typos})
-    df = spark.createDataFrame([(v,) for v in values], "v string")
-    found = {tuple(r) for r in names.candidate_pairs(df, "v", names._shingles, bands_for(0.45, 0.96, 4), 4).collect()}
-    close = {(a, b) for a in values for b in values if a < b and edits(a, b, 1) == 1}
-    assert len(close - found) <= 0.05 * len(close) and all(a < b for a, b in found)
+    pairs = [p for x in accepted_pairs(rng, " ".join, lambda a, b: names.same_proper(a, b)[0] > 0, 40).values() for p in x]
+    values = sorted({v for p in pairs for v in p})
+    found = {tuple(r) for r in names.candidate_pairs(spark.createDataFrame([(v,) for v in values], "v string"), "v", names.BANDINGS).collect()}
+    close = {(min(p), max(p)) for p in pairs}
+    assert len(close - found) <= 0.1 * len(close) and all(a < b for a, b in found)
 
 
 # --- canonical values --------------------------------------------------------------------------
@@ -150,6 +203,8 @@ def test_alignment_knows_abbreviations():
     assert cost("so 5 hoa binh".split(), "so 5 duong hoa binh".split()) < 0.2
     assert cost("so 5 hoa binh".split(), "so 6 hoa binh".split()) > 1
     assert 0 < cost("so 5 hoa binh".split(), "so 5 hoaa binh".split()) < 0.5
+    assert addresses.same_place("1|5|le loi street x", "1|5|le loi st x") == 1.0 and addresses.same_place("1|5|le loi", "1|6|le loi") == 0 and addresses.same_place("1|5|le loi", "1|5|le lai binh") == 0
+    assert 0 < addresses.same_place("1|5|hoang hoa tham", "1|5|hoanghao tham") < 1 and addresses.same_place("1|5|luan hung thuy", "1|5|luan phong thu") == 0
     assert cost("a b".split(), "a x y z b".split()) == 2.0  # one opening, two extensions
 
 
