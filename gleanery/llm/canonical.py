@@ -13,6 +13,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
+from itertools import product
 
 import ahocorasick
 import pyarrow as pa
@@ -25,15 +26,10 @@ from gleanery.llm.minhash import edits, grams
 
 #: Reference lists are held by every task; larger ones are refused.
 MOST_ENTRIES = 200_000
-# Short spellings of roles in titles, folded.
-ROLE_ALIASES = {
-    "nhan vien": ["nv", "n vien", "nvien", "nhanvien", "n v", "nhan vien nv", "staff"],
-    "ky su": ["ks", "ki su", "k su", "kysu", "ksu", "k s"],
-    "truong phong": ["tp", "t phong", "trg phong", "tr phong", "truong p", "tphong", "trphong", "t p"],
-    "chuyen vien": ["cv", "c vien", "cvien", "ch vien", "chvien", "c v"],
-    "thuc tap sinh": ["tts", "tt sinh", "thuc tap", "t t sinh", "ttsinh", "t t s"],
-    "giam sat": ["gs", "sup", "supv", "g sat", "gsat", "giam s", "g s"],
-}
+# Roles by another word, folded.
+ROLE_WORDS = {"nhan vien": ["staff"], "giam sat": ["sup", "supv"]}
+# Consonants a syllable opens with that are two or three letters.
+_ONSET = re.compile(r"ngh|ng|nh|tr|th|ch|ph|kh|gi|qu|gh|[a-z]")
 # What a title opens with when it only says that somebody is wanted, folded.
 WANTED = re.compile(r"^\W*(?:tuyen dung\s*:|(?:can |dang )?tuyen(?: gap)?\b(?! dung))\s*:?\s*")
 
@@ -43,12 +39,87 @@ def allowed(length: int) -> int:
     return 0 if length < 4 else 1 if length < 8 else 2 if length < 14 else 3
 
 
+def short_forms(name: str) -> set[str]:
+    """How a name of several words is shortened: each word whole, by its first letter, by its opening
+    consonants or by these and its last one, spaced or glued, and a name of three words and more
+    without its last."""
+    ws = name.split()
+    if len(ws) < 2:
+        return set()
+    opening = [m[0] if (m := _ONSET.match(w)) else w[0] for w in ws]
+    choices = [dict.fromkeys((w, w[0], o, o if w[-1] in "aeiouy" else o + w[-1])) for w, o in zip(ws, opening)]
+    forms = {joined for pick in product(*choices) for joined in (" ".join(pick), "".join(pick))} - {name}
+    return forms | ({" ".join(ws[:-1])} if len(ws) > 2 else set())
+
+
+class PieceIndex:
+    """Finds the names that may be within k edits of a part of a text, by an unharmed piece.
+
+    A name is cut into k + 1 pieces. k edits leave one of them whole, or harmed only by a swap of
+    letters across its edge; pieces are filed with these swaps. No name in reach is missed.
+    """
+
+    def __init__(self, names: Sequence[tuple[str, int]]):
+        filed: dict[str, set[int]] = defaultdict(set)
+        for i, (name, most) in enumerate(names):
+            cuts = [round(j * len(name) / (most + 1)) for j in range(most + 2)]
+            for a, b in zip(cuts, cuts[1:]):
+                forms = {name[a:b]}
+                if a:
+                    forms |= {name[a - 1] + x[1:] for x in forms}
+                if b < len(name):
+                    forms |= {x[:-1] + name[b] for x in forms}
+                for x in forms:
+                    filed[x].add(i)
+        self.filed = dict(filed)
+        self.sizes = sorted({len(x) for x in self.filed})
+
+    def near(self, text: str) -> list[int]:
+        out: set[int] = set()
+        for n in self.sizes:
+            for a in range(len(text) - n + 1):
+                out.update(self.filed.get(text[a : a + n], ()))
+        return sorted(out)
+
+
+class WordIndex:
+    """Finds the words of which at least four fifths are as in a given word.
+
+    That is a quarter of their letters in edits at most: none below four letters; words of up to
+    seven, one edit apart, share a form with one letter left out; longer ones an unharmed piece.
+    """
+
+    def __init__(self, words_: Sequence[str]):
+        self.words = list(words_)
+        self.exact = set(self.words)
+        self.lacking: dict[str, list[int]] = defaultdict(list)
+        for i, w in enumerate(self.words):
+            for form in self._forms(w) if 4 <= len(w) < 8 else ():
+                self.lacking[form].append(i)
+        self.long = [w for w in self.words if len(w) >= 8]
+        self.pieces = PieceIndex([(w, len(w) // 4) for w in self.long])
+
+    @staticmethod
+    def _forms(w: str) -> set[str]:
+        return {w, *(w[:i] + w[i + 1 :] for i in range(len(w)))}
+
+    def near(self, word: str) -> set[str]:
+        found = {self.words[i] for form in self._forms(word) for i in self.lacking.get(form, ())}
+        if len(word) >= 6:
+            found.update(self.long[i] for i in self.pieces.near(word))
+        return {w for w in found if edits(w, word, 3) <= 0.2 * max(len(w), len(word))} | ({word} & self.exact)
+
+
 class Mapper:
-    """entries: (id, names, code). ``find(value)`` gives the id meant, or 0."""
+    """entries: (id, names, code). ``find(value)`` gives the id meant, or 0.
+
+    The time for a value depends on the names that share rare bigrams or words with it, not on the
+    length of the list.
+    """
 
     def __init__(self, entries: Iterable[tuple[int, Sequence[str], str | None]], parts: bool = False, aliases: dict[str, list[str]] | None = None):
         self.codes: dict[str, int] = {}
-        self.short = {s for x in (aliases or {}).values() for s in x}  # only ever matched exactly
+        self.short: set[str] = set()  # only ever matched exactly
         self.names: dict[int, dict[str, int]] = defaultdict(dict)  # part number -> name -> part id
         self.entry: dict[tuple[int, ...], int] = {}
         entries = list(entries)
@@ -61,7 +132,7 @@ class Mapper:
                 self.entry[(i,)] = i
                 if code:
                     self.codes[code.lower()] = i
-        self.automata, self.fuzzy = {}, {}
+        self.automata, self.fuzzy, self.pieces, self.several, self.holding, self.words = ({} for _ in range(6))
         for k, names in self.names.items():
             a = ahocorasick.Automaton()
             for n, i in names.items():
@@ -70,6 +141,14 @@ class Mapper:
             a.make_automaton()
             self.automata[k] = a
             self.fuzzy[k] = [(g, frozenset(grams(g, 2)), i, len(n.split())) for n, i in names.items() if n not in self.short and len(g := n.replace(" ", "")) >= 4]
+            self.pieces[k] = PieceIndex([(name, allowed(len(name)) + (len(name) == 7)) for name, _, _, _ in self.fuzzy[k]])
+            self.several[k] = [(n.split(), i) for n, i in names.items() if n not in self.short and len(n.split()) > 1]
+            spelled: dict[str, list[int]] = defaultdict(list)
+            for at, (ws, _) in enumerate(self.several[k]):
+                for w in dict.fromkeys(ws):
+                    spelled[w].append(at)
+            self.holding[k] = spelled
+            self.words[k] = WordIndex(list(spelled))
 
     def _factor(self, entries: list, aliases: dict[str, list[str]]) -> None:
         """Each label is cut in two so that both halves recur in other labels as often as they can."""
@@ -112,10 +191,15 @@ class Mapper:
                 role_of.setdefault(p[0], r)
                 field_of.setdefault(p[1], f)
             self.entry[r, f] = i
-        for name, short in aliases.items():
-            if name in role_of:
-                for s in short:
-                    role_of.setdefault(s, role_of[name])
+        forms: dict[str, set[int]] = defaultdict(set)
+        for name, r in role_of.items():
+            for s in (*short_forms(name), *aliases.get(name, ())):
+                forms[s].add(r)
+        taken = {w for n in field_of for w in (n, *n.split())}
+        for s, of in forms.items():
+            if len(of) == 1 and len(s) > 1 and s not in role_of and s not in taken:
+                role_of[s] = min(of)
+                self.short.add(s)
         self.names[0], self.names[1] = role_of, field_of
 
     def find(self, value: str | None) -> int:
@@ -169,7 +253,7 @@ class Mapper:
             all_grams = grams("".join(run), 2)
             for w in run:
                 all_grams |= grams(w, 2)
-            for name, g, i, n in self.fuzzy[k]:
+            for name, g, i, n in map(self.fuzzy[k].__getitem__, self.pieces[k].near("".join(run))):
                 most = allowed(len(name)) + (len(name) == 7 and len(ws) <= n + 1)  # a short name alone may have one more
                 if not most or len(g & all_grams) < len(g) - 3 * most:
                     continue
@@ -188,11 +272,16 @@ class Mapper:
         return self._tokens(k, [w for r in runs for w in r])
 
     def _tokens(self, k: int, ws: list[str]) -> int:
-        """Token-set similarity: every word of the name close to a word of its own, in any order."""
+        """Token-set similarity: every word of the name close to a word of its own, in any order.
+
+        A name is this similar only if one of its words is, so only those that hold such a word are compared.
+        """
         best, second = (0.0, 0), 0.0
-        for name, i in self.names[k].items():
-            parts = name.split()
-            if len(parts) < 2 or len(ws) < len(parts):
+        near: set[int] = set()
+        for w in dict.fromkeys(ws):
+            near.update(at for x in self.words[k].near(w) for at in self.holding[k].get(x, ()))
+        for parts, i in map(self.several[k].__getitem__, sorted(near)):
+            if len(ws) < len(parts):
                 continue
             left, total = list(ws), 0.0
             for p in parts:

@@ -38,7 +38,7 @@ def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = [
         canonical.map_values(places, "item", entries["location"]).withColumn("field_name", F.lit("location")),
         canonical.map_values(industry, "item", entries["job_industry"]).withColumn("field_name", F.lit("job_industry")),
-        canonical.map_values(title, "item", entries["job_title_clean"], parts=True, aliases=canonical.ROLE_ALIASES).withColumn("field_name", F.lit("job_title_clean")),
+        canonical.map_values(title, "item", entries["job_title_clean"], parts=True, aliases=canonical.ROLE_WORDS).withColumn("field_name", F.lit("job_title_clean")),
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 

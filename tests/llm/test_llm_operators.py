@@ -173,7 +173,51 @@ def test_places(value, want):
     ],
 )
 def test_titles_need_both_parts(value, want):
-    assert canonical.Mapper(TITLES, True, canonical.ROLE_ALIASES).find(value) == want
+    assert canonical.Mapper(TITLES, True, canonical.ROLE_WORDS).find(value) == want
+
+
+def test_similarity_by_index_equals_all_names():
+    """The indexes leave out no name: against a mapper whose indexes give every name."""
+    rng = random.Random(6)
+    names_ = [" ".join(rng.choice(SYLLABLES) for _ in range(rng.randrange(1, 4))) for _ in range(400)]
+    entries = [(i, [n], None) for i, n in enumerate(names_, 1)]
+    fast, slow = canonical.Mapper(entries), canonical.Mapper(entries)
+    for k in slow.names:
+        slow.pieces[k].near = lambda g, n=len(slow.fuzzy[k]): range(n)
+        slow.words[k].near = lambda w: {w}
+        slow.holding[k] = type("All", (), {"get": lambda self, x, other, n=len(slow.several[k]): range(n)})()
+    found = 0
+    for _ in range(600):
+        v = list(rng.choice(names_))
+        for _ in range(rng.randrange(3)):
+            i = rng.randrange(len(v))
+            v[i : i + 1] = rng.choice(["", "x", "a", " ", v[i] + "h"])
+        text = " ".join(rng.sample(("".join(v) + rng.choice(["", " abc", " kho lon"])).split(), k=len(("".join(v)).split()))) if rng.random() < 0.3 else "".join(v)
+        assert fast.find(text) == slow.find(text), text
+        found += fast.find(text) > 0
+    assert found > 200
+
+
+def test_time_for_a_value_does_not_grow_with_the_list():
+    import time
+
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("bcdfghklmnpqrstvx") + rng.choice("aeiouy") for _ in range(rng.randrange(2, 5)))
+    took = {}
+    for size in (2_000, 100_000):
+        m = canonical.Mapper([(i, [f"{word()} {word()} {word()}"], None) for i in range(1, size + 1)])
+        values = [f"{word()} {word()} zzz" for _ in range(60)]
+        began = time.perf_counter()
+        for v in values:
+            m.find(v)
+        took[size] = (time.perf_counter() - began) / len(values)
+    assert took[100_000] < 0.1, took
+
+
+def test_short_forms_are_derived():
+    forms = canonical.short_forms("nhan vien")
+    assert {"nv", "n v", "nvien", "n vien", "nhanvien", "nh vien"} <= forms and "nhan vien" not in forms and canonical.short_forms("staff") == set()
+    assert {"tts", "t t s", "tt sinh".replace(" ", ""), "thuc tap"} <= canonical.short_forms("thuc tap sinh")
 
 
 def test_mapping_keeps_rows(spark):
