@@ -87,6 +87,15 @@ def chains() -> dict[str, tuple[Callable[[str], str], Callable[[str], str]]]:
     return single | both | {"tcvn3": tcvn}
 
 
+#: The class of words that lost signs: each lost byte or letter stands as U+FFFD.
+LOST = "lost"
+
+
+def lose(word: str) -> list[str]:
+    """A word as readers leave it that replace what they cannot decode: by letter, and by byte."""
+    return ["".join(c if c.isascii() else "\ufffd" for c in word), word.encode().decode("ascii", "replace")]
+
+
 def undo(word: str, chain: str) -> str | None:
     """The word before the chain, if it decodes strictly to something else that can be shown."""
     try:
@@ -145,7 +154,7 @@ def holds_pieces(word: str, chain: str) -> bool:
 
 def train(texts: Sequence[str], smoothing: float = 0.02) -> Classifier:
     """A multinomial classifier from clean sentences of ``texts`` and their garbled forms."""
-    names = ("clean", *chains())
+    names = ("clean", *chains(), LOST)
     counts = np.full((len(names), BUCKETS), smoothing)
     seen: dict[str, int] = {}
     for text in texts:
@@ -155,9 +164,8 @@ def train(texts: Sequence[str], smoothing: float = 0.02) -> Classifier:
         weight = 1 + np.log(n)
         np.add.at(counts[0], _features(w), weight)
         for k, name in enumerate(names[1:], 1):
-            g = chains()[name][0](w)
-            if g != w:
-                for part in _WORD.findall(g):  # a chain may put white space into a word
+            for g in lose(w) if name == LOST else [chains()[name][0](w)]:
+                for part in _WORD.findall(g) if g != w else ():  # a chain may put white space into a word
                     if not part.isascii():
                         np.add.at(counts[k], _features(part), weight)
     weights = np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
@@ -205,9 +213,11 @@ class Restorer:
         return min((often(r, 0) for r in _runs(restored)), default=0) >= max(written, 1)
 
     def _judge(self, word: str) -> tuple[str, str | None, float]:
-        """(chain or '', the restored word if any, log-odds against clean)."""
-        if "�" in word:
-            return "lost", None, VERY_SURE + 1
+        """(class or '', the restored word if any, log-odds against clean).
+
+        The most likely class that the word can have come from: a chain that does not invert strictly
+        cannot have made it, and a word without U+FFFD has lost nothing.
+        """
         s = self.classifier.scores(word)
         odds = s - s[0]
         order = np.argsort(-odds)
@@ -216,6 +226,10 @@ class Restorer:
             if odds[k] < SURE or k == 0:
                 break
             name = self.classifier.names[k]
+            if name == LOST:
+                if "\ufffd" in word:
+                    return LOST, None, float(odds[k])
+                continue
             got = _legacy(word) if name == "tcvn3" else undo(word, name)
             if got is None:
                 continue
@@ -223,7 +237,7 @@ class Restorer:
                 continue  # every text decodes strictly here: only known words count
             return name, got, float(odds[k])
         for k in order:
-            if odds[k] >= VERY_SURE and holds_pieces(word, self.classifier.names[k]):
+            if odds[k] >= VERY_SURE and self.classifier.names[k] != LOST and holds_pieces(word, self.classifier.names[k]):
                 return self.classifier.names[k], None, float(odds[k])
         return "", None, top
 
@@ -233,9 +247,9 @@ class Restorer:
             return False, False, text, None
         hits = [(m.start(), m.end(), *self.judge(m[0])) for m in _WORD.finditer(text) if not m[0].isascii()]
         hits = [h for h in hits if h[2]]
-        sure = [h for h in hits if h[3] is not None and h[2] != "tcvn3" or h[2] == "lost"]
+        sure = [h for h in hits if h[3] is not None and h[2] != "tcvn3" or h[2] == LOST]
         legacy = [h for h in hits if h[2] == "tcvn3" and h[3] is not None]
-        rest = [h for h in hits if h[3] is None and h[2] != "lost"]
+        rest = [h for h in hits if h[3] is None and h[2] != LOST]
         found = bool(sure or len(legacy) >= 2 or any(h[4] >= VERY_SURE for h in legacy) or rest)
         if not found:
             return False, False, text, None

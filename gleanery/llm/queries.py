@@ -73,7 +73,7 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_column(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list]:
+def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     docs = table(spark, sf_dir, "documents")
     sized = mixing.sizes(docs, "doc_id", "text", "source")
     return docs, sized, mixing.plan_mix(sized, table(spark, sf_dir, "mix_targets"), "doc_id", "source")
