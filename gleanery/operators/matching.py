@@ -280,10 +280,10 @@ def clauses(text: str, matches: Sequence[int] = ()) -> list[tuple[int, int, str]
     return out
 
 
-def context_of(read: Read, left: int, a: int, right: int, section: str) -> tuple[str, str]:
+def context_of(read: Read, left: int, a: int, right: int, section: str, without: Sequence[str] = ()) -> tuple[str, str]:
     """(context, name of the rule) of a match at ``a`` of which [left, right) speaks: the first rule
-    that holds, else the section's context."""
-    rule = next((r for r in RULES if r.holds(read, left, a, right)), None)
+    that holds, but for those in ``without``, else the section's context."""
+    rule = next((r for r in RULES if r.name not in without and r.holds(read, left, a, right)), None)
     return (rule.context, rule.name) if rule else (section, "heading" if section == "preferred" else "assertion")
 
 
