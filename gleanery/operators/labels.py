@@ -111,3 +111,44 @@ def latest(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.groupBy(key).agg(F.max_by(F.struct(*others), F.struct(order, *[F.col(c).cast("string") for c in others])).alias("r")).select(key, "r.*")
 
 
+
+
+def display_of(column: Column, dictionary: dict[str, str], separator: str | None = None) -> Column:
+    """The preferred spelling of a label by a dictionary, whatever its case; unknown labels only have
+    their spacing settled. With ``separator`` of every label of a list, in order, blanks left out."""
+    names = F.create_map(*[F.lit(x) for k, v in dictionary.items() for x in (k.lower(), v)])
+    one = lambda x: F.coalesce(F.try_element_at(names, F.lower(collapse(x))), collapse(x))
+    if separator is None:
+        return F.nullif(one(column), F.lit(""))
+    parts = F.filter(F.transform(F.split(column, separator), one), lambda x: x != "")
+    return F.nullif(F.array_join(parts, f"{separator.strip()} "), F.lit(""))
+
+
+def facets(df: DataFrame, column: str, dictionary: DataFrame, label: str, names: tuple[str, ...]) -> DataFrame:
+    """``df`` with an array for each facet in ``names`` (the dictionary lists values split by '|') and
+    ``status``: missing, mapped or unmapped."""
+    d = dictionary.select(F.lower(collapse(F.col(label))).alias("__label"), *[F.filter(F.split(F.coalesce(n, F.lit("")), r"\|"), lambda x: x != "").alias(n) for n in names])
+    joined = df.withColumn("__key", F.lower(collapse(F.col(column)))).join(small(d), F.col("__key") == F.col("__label"), "left")
+    state = F.when(F.coalesce("__key", F.lit("")) == "", "missing").when(F.col("__label").isNull(), "unmapped").otherwise("mapped")
+    empty = F.array().cast("array<string>")
+    return joined.withColumns({n: F.coalesce(n, empty) for n in names}).withColumn("status", state).drop("__key", "__label")
+
+
+def typography(column: Column) -> Column:
+    """A label as it is printed: single spaces, one on each side of slashes, ampersands and dashes
+    between words, none before commas, no full stop or separator at its ends, first letter a capital."""
+    t = collapse(column)
+    t = F.regexp_replace(t, r"\s*([/&])\s*", " $1 ")
+    t = F.regexp_replace(t, r"\s+[-–—]\s+", " - ")
+    t = F.regexp_replace(F.regexp_replace(t, r"\s+([,;:])", "$1"), r"([,;:])(?=\S)", "$1 ")
+    t = F.regexp_replace(collapse(t), r"^[\s/&,;:.\-–—]+|[\s/&,;:.\-–—]+$", "")
+    return F.nullif(F.concat(F.upper(F.substring(t, 1, 1)), F.substr(t, F.lit(2))), F.lit(""))
+
+
+def arrangement(column: Column, arrangements: dict[str, str], shifts: tuple[str, ...]) -> Column:
+    """``struct(arrangement, shift_work)`` of a comma-separated list of labels."""
+    parts = F.transform(F.split(column, ","), lambda x: F.lower(collapse(x)))
+    names = F.create_map(*[F.lit(x) for k, v in arrangements.items() for x in (k.lower(), v)])
+    found = F.array_sort(F.array_distinct(F.array_compact(F.transform(parts, lambda x: F.try_element_at(names, x)))))
+    shift = F.coalesce(F.exists(parts, lambda x: x.isin([s.lower() for s in shifts])), F.lit(False))
+    return F.struct(F.when(F.size(found) == 1, F.get(found, F.lit(0))).when(F.size(found) > 1, "mixed").alias("arrangement"), shift.alias("shift_work"))

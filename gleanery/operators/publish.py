@@ -5,11 +5,14 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from gleanery.operators.aggregates import constraints
 from gleanery.operators.identity import digest, digest_parts
+from gleanery.operators.joins import compare, orphans
 
 
 def _fs(spark: SparkSession, path: str):
@@ -135,3 +138,47 @@ def register(registry: DataFrame, new: DataFrame, key: str, facts: Sequence[str]
     if not bad.isEmpty():
         raise ValueError(f"registered before with other facts: {bad.select(key).first()[0]}")
     return registry.unionByName(new.select(*registry.columns).join(registry.select(key), key, "left_anti"))
+
+
+def checksum(text: str) -> str:
+    return sha256(" ".join(text.split()).encode()).hexdigest()
+
+
+def migrate(spark: SparkSession, root: str, steps: Sequence[tuple[str, str]]) -> list[str]:
+    """Runs the SQL steps (name, statement) that the ledger does not hold, in order, and returns their names.
+
+    A step the ledger holds with another checksum is an error, as is one that was run and is not
+    listed any more; nothing is run then. White space does not count.
+    """
+    path = f"{root}/migrations.json"
+    ledger = {x["name"]: x for x in json.loads(_read(spark, path) or "[]")}
+    listed = dict(steps)
+    changed = [n for n, x in ledger.items() if n not in listed or checksum(listed[n]) != x["checksum"]]
+    if changed:
+        raise ValueError(f"migrations changed after they were run: {changed}")
+    run = []
+    for name, statement in steps:
+        if name not in ledger:
+            spark.sql(statement)
+            ledger[name] = {"name": name, "checksum": checksum(statement)}
+            _write(spark, path, json.dumps(list(ledger.values())))
+            run.append(name)
+    return run
+
+
+def unchanged_inputs(before: DataFrame, after: DataFrame) -> DataFrame:
+    """``name, state`` of the input files of a run by their hashes at its start and end: same, changed,
+    gone or new."""
+    a, b = before.select("name", F.col("sha256").alias("a")), after.select("name", F.col("sha256").alias("b"))
+    state = F.when(F.col("b").isNull(), "gone").when(F.col("a").isNull(), "new").when(F.col("a") == F.col("b"), "same").otherwise("changed")
+    return a.join(b, "name", "full_outer").select("name", state.alias("state"))
+
+
+def read_back(live: DataFrame, staged: DataFrame, key: str, columns: Sequence[str], children: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """``rule, breaks`` of a published table read back: rows missing, extra, modified or repeated
+    against what was staged, columns whose counts differ, and orphans of each of ``children`` (table, key)."""
+    compared = compare(staged, live, key, columns)
+    state = lambda s: compared.where(F.col("state") == s)
+    repeated = live.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    rules = {"missing": state("missing"), "extra": state("extra"), "modified": state("modified"), "repeated": repeated}
+    return constraints(rules | {f"orphans_{n}": orphans(df, k, live, key) for n, (df, k) in children.items()})

@@ -113,3 +113,75 @@ def challenge(title: Column, body: Column) -> Column:
 def next_data(html: Column, path: str) -> Column:
     """A value of the JSON state embedded in a page."""
     return F.get_json_object(F.regexp_extract(html, r'(?s)<script id="__NEXT_DATA__"[^>]*>(.*?)</script>', 1), path)
+
+
+def page_facts(html: Column) -> Column:
+    """``struct(next_url, total)`` of a listing: the link to its next page, and the number of hits it states."""
+    link = F.regexp_extract(html, r"""(?is)<a\b(?=[^>]*\brel\s*=\s*["']next["'])[^>]*?\bhref\s*=\s*["']([^"']+)""", 1)
+    total = F.regexp_extract(html, r"(?iU)([0-9][0-9.,]*)\s*(?:việc làm|jobs|kết quả|results)\b", 1)
+    return F.struct(F.nullif(link, F.lit("")).alias("next_url"), F.translate(total, ".,", "").try_cast("long").alias("total"))
+
+
+def pagination(body: Column) -> Column:
+    """How a page says that more follows: next_link, page_parameter, load_more or none."""
+    return (
+        F.when(body.rlike(r"""(?i)rel\s*=\s*["']next["']"""), "next_link")
+        .when(body.rlike(r"""(?i)href\s*=\s*["'][^"']*[?&](?:page|p|trang)=\d+"""), "page_parameter")
+        .when(body.rlike(r"(?iU)load more|xem thêm|tải thêm"), "load_more")
+        .otherwise("none")
+    )
+
+
+def url_scope(url: Column, hosts: tuple[str, ...], denied: tuple[str, ...]) -> Column:
+    """Whether a URL may be read: allowed, other_host, denied_path or no_url."""
+    host, path = F.lower(F.try_parse_url(url, F.lit("HOST"))), F.try_parse_url(url, F.lit("PATH"))
+    inside = F.exists(F.array(*[F.lit(h) for h in hosts]), lambda h: (host == h) | host.endswith(F.concat(F.lit("."), h)))
+    refused = F.exists(F.array(*[F.lit(d) for d in denied]), lambda d: path.startswith(d))
+    return F.when(host.isNull() | ~url.rlike("(?i)^https?://"), "no_url").when(~inside, "other_host").when(F.coalesce(refused, F.lit(False)), "denied_path").otherwise("allowed")
+
+
+def flight_rows(stream: str) -> dict[str, object]:
+    """The rows ``id:json`` of a page's component stream; what is no JSON is left out."""
+    out: dict[str, object] = {}
+    for line in stream.split("\n"):
+        name, _, body = line.partition(":")
+        try:
+            out[name] = json.loads(body)
+        except ValueError:
+            continue
+    return out
+
+
+def flight_value(stream: str | None, path: str) -> str | None:
+    """A value of a component stream as JSON, references ``$id`` followed; null where the path leads
+    nowhere. ``path``: row id and keys, joined by dots. A reference to itself is an error."""
+    if not stream:
+        return None
+    rows = flight_rows(stream)
+
+    def follow(v: object, open_: tuple[str, ...]) -> object:
+        if isinstance(v, str) and len(v) > 1 and v[0] == "$" and v[1:] in rows:
+            if v in open_:
+                raise ValueError(f"reference to itself: {v}")
+            return follow(rows[v[1:]], (*open_, v))
+        if isinstance(v, dict):
+            return {k: follow(x, open_) for k, x in v.items()}
+        return [follow(x, open_) for x in v] if isinstance(v, list) else v
+
+    first, *keys = path.split(".")
+    if first not in rows:
+        return None
+    at = follow(rows[first], (f"${first}",))
+    for k in keys:
+        at = at.get(k) if isinstance(at, dict) else at[int(k)] if isinstance(at, list) and k.isdigit() and int(k) < len(at) else None
+    return None if at is None else at if isinstance(at, str) else json.dumps(at, ensure_ascii=False, sort_keys=True)
+
+
+def flight(c: Column, path: str) -> Column:
+    """``flight_value`` of every page."""
+
+    @F.pandas_udf("string")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda v: flight_value(v if isinstance(v, str) else None, path))
+
+    return run(c)

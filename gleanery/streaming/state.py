@@ -46,6 +46,24 @@ def commit(known: DataFrame, arrived: DataFrame, key: str, fact: str) -> DataFra
     return once.join(old, key, "left").select(key, out.alias("outcome"))
 
 
+def outstanding(queue: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """What of a queue is still to do when what was written is the authority: a key that the queue calls
+    completed but that was never written is done again, one that was written is not."""
+    keys = done.where(F.col(key).isNotNull()).select(key).distinct()
+    return queue.join(keys, key, "left_anti")
+
+
+def change_counters(changes: DataFrame, by: str, fields: tuple[str, ...]) -> DataFrame:
+    """``by, n_rows, new, unchanged, changed`` and ``missing_<field>`` for each of ``fields``."""
+    void = [F.count_if(F.coalesce(F.trim(F.col(f).cast("string")), F.lit("")) == "").alias(f"missing_{f}") for f in fields]
+    return changes.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col("change") == k).alias(k) for k in ("new", "unchanged", "changed")], *void)
+
+
+def stop_reason(runs: DataFrame, in_a_row: int = 3, ceiling: float = 0.1) -> DataFrame:
+    """``failure_runs`` with ``stop``: consecutive_failures, error_rate or null."""
+    return runs.withColumn("stop", F.when(F.col("longest_failure_run") >= in_a_row, "consecutive_failures").when(F.col("failure_rate") > ceiling, "error_rate"))
+
+
 def failure_runs(events: DataFrame, run: str, order: str, failed: str) -> DataFrame:
     """``run, n_events, failures, longest_failure_run, failure_rate`` for the rules that end a run.
 
