@@ -14,6 +14,8 @@ def json_value(df: DataFrame, name: str) -> Column:
     if dict(df.dtypes)[name] == "string":
         quoted = F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1)
         return F.when(c.isNull(), "null").otherwise(quoted)
+    if dict(df.dtypes)[name].startswith("array"):
+        return F.coalesce(F.to_json(c), F.lit("null"))
     return F.coalesce(c.cast("string"), F.lit("null"))
 
 

@@ -152,3 +152,24 @@ def arrangement(column: Column, arrangements: dict[str, str], shifts: tuple[str,
     found = F.array_sort(F.array_distinct(F.array_compact(F.transform(parts, lambda x: F.try_element_at(names, x)))))
     shift = F.coalesce(F.exists(parts, lambda x: x.isin([s.lower() for s in shifts])), F.lit(False))
     return F.struct(F.when(F.size(found) == 1, F.get(found, F.lit(0))).when(F.size(found) > 1, "mixed").alias("arrangement"), shift.alias("shift_work"))
+
+
+def families(text: Column, rules: list[tuple[str, str, str]]) -> Column:
+    """The families (family, pattern, exclusion) whose pattern stands in the text and whose exclusion
+    does not, sorted; null texts have none."""
+    hit = lambda p, no: text.rlike(p) & (~text.rlike(no) if no else F.lit(True))
+    return F.array_compact(F.array(*[F.when(hit(p, no), F.lit(f)) for f, p, no in sorted(rules)]))
+
+
+def occupation(df: DataFrame, title: str, source: str, rules: list[tuple[str, str, str]]) -> DataFrame:
+    """``df`` with ``families`` of the title, ``status``, ``family`` and ``overrides_source``.
+
+    One family in the title assigns it, several are multiple_or_ambiguous; without any, what the
+    source's own label touches only proposes (needs_review). A family that the source's label
+    contradicts is marked. Null and blank titles are missing.
+    """
+    d = df.withColumn("families", families(F.col(title), rules)).withColumn("__said", families(F.col(source), rules))
+    one, said = F.size("families") == 1, F.size("__said") > 0
+    status = F.when(F.coalesce(title, F.lit("")) == "", "missing").when(F.size("families") > 1, "multiple_or_ambiguous").when(one, "assigned").when(said, "needs_review").otherwise("unmapped")
+    family = F.when(one, F.get("families", F.lit(0)))
+    return d.withColumn("status", status).withColumn("family", family).withColumn("overrides_source", one & said & ~F.array_contains("__said", F.coalesce(family, F.lit("")))).drop("__said")

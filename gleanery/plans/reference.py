@@ -216,15 +216,16 @@ def b11_salary_shapes(spark, d):
     )
 
 
+_HASHED = ("application_deadline", "benefits", "candidate_requirements", "company_name", "job_description", "job_title", "location_raw", "salary_raw")
+
+
 @query(
-    "SELECT probe_id, sha256('[' || "
-    + " || ',' || ".join(f"coalesce(CAST(to_json({_strip_sql(c)}) AS VARCHAR), 'null')" for c in ("candidate_requirements", "company_name", "job_description", "job_title", "location_raw", "salary_raw"))
-    + " || ']') AS posting_hash FROM probe_records"
+    "SELECT probe_id, sha256('[' || " + " || ',' || ".join("coalesce(CAST(to_json(benefits) AS VARCHAR), 'null')" if c == "benefits" else f"coalesce(CAST(to_json({_strip_sql(c)}) AS VARCHAR), 'null')" for c in _HASHED) + " || ']') AS posting_hash FROM probe_records"
 )
 def b12_posting_hash(spark, d):
-    names = ("candidate_requirements", "company_name", "job_description", "job_title", "location_raw", "salary_raw")
-    df = table(spark, d, "probe_records").select("probe_id", *[tx.collapse(F.col(c)).alias(c) for c in names])
-    return df.select("probe_id", identity.fingerprint(df, names).alias("posting_hash"))
+    """A hash of the fields that make a posting, their spacing settled."""
+    df = table(spark, d, "probe_records").select("probe_id", *[F.col(c) if c == "benefits" else tx.collapse(F.col(c)).alias(c) for c in _HASHED])
+    return df.select("probe_id", identity.fingerprint(df, _HASHED).alias("posting_hash"))
 
 
 @query(f"SELECT doc_id, sha256(lower({_strip_sql('nfc_normalize(text)')})) AS text_hash FROM documents")
@@ -720,12 +721,37 @@ def k8_contexts(spark, d):
     return e.groupBy("e.code", "e.context", "e.rule", "e.logic").agg(F.count(F.lit(1)).alias("n"))
 
 
+# Families of occupations and topics by words of a title, and what rules them out.
+FAMILIES = [
+    ("warehouse", "kho|thủ kho|warehouse|cold storage", "kho báu"), ("hr", "tuyển dụng|nhân sự|recruit", "^tuyển dụng *[:-]"), ("accounting", "kế toán|kiểm toán|thuế|account", ""), ("software", "phần mềm|lập trình|software|dữ liệu|data", "bán phần mềm"),
+    ("marketing", "quảng cáo|truyền thông|marketing|thương hiệu", ""), ("production", "hàn |dệt|nhuộm|sản xuất|cơ khí|bao bì|weld|textile", ""), ("maintenance", "bảo trì|sửa chữa|vận hành|mainten", ""), ("design", "thiết kế|đồ họa|design", ""),
+    ("law", "pháp chế|hợp đồng|legal", ""), ("logistics", "điều phối|xe tải|cảng|giao hàng|logist", ""), ("care", "chăm sóc|y khoa|điều dưỡng|care", ""),
+]
+_FAMILY_SQL = "list_filter([" + ", ".join(f"CASE WHEN regexp_matches(x, '{p}')" + (f" AND NOT regexp_matches(x, '{no}')" if no else "") + f" THEN '{f}' END" for f, p, no in sorted(FAMILIES)) + "], lambda v: v IS NOT NULL)"
+
+
 @query(
-    "SELECT doc_id, regexp_matches(lower(text), '\\bsql\\b') AS has_sql, regexp_matches(lower(text), '\\bpython\\b') AS has_python FROM documents WHERE text IS NOT NULL"
+    f"""WITH t AS (SELECT id, lower({_strip_sql('nfc_normalize(job_title)')}) AS title, lower({_strip_sql('nfc_normalize(job_industry)')}) AS source FROM source_rows),
+a AS (SELECT id, title, {_FAMILY_SQL.replace('x,', 'title,')} AS own, {_FAMILY_SQL.replace('x,', 'source,')} AS said FROM t)
+SELECT id, array_to_string(own, '|') AS families, CASE WHEN coalesce(title, '') = '' THEN 'missing' WHEN len(own) > 1 THEN 'multiple_or_ambiguous' WHEN len(own) = 1 THEN 'assigned' WHEN len(said) > 0 THEN 'needs_review' ELSE 'unmapped' END AS status,
+  CASE WHEN len(own) = 1 THEN own[1] END AS family, len(own) = 1 AND len(said) > 0 AND NOT list_contains(said, own[1]) AS overrides_source FROM a"""
+)
+def k1_occupations(spark, d):
+    """The family of occupations of every title; what the source calls it only proposes one."""
+    low = lambda c: F.lower(tx.collapse(tx.nfc(F.col(c))))
+    rows = table(spark, d, "source_rows").select("id", low("job_title").alias("title"), low("job_industry").alias("source"))
+    return labels.occupation(rows, "title", "source", FAMILIES).select("id", F.array_join("families", "|").alias("families"), "status", "family", "overrides_source")
+
+
+@query(
+    f"""WITH t AS (SELECT id, lower({_strip_sql('nfc_normalize(job_title)')}) AS title, lower({_strip_sql('nfc_normalize(job_industry)')}) AS source FROM source_rows)
+SELECT id, array_to_string(list_sort(list_distinct(list_concat({_FAMILY_SQL.replace('x,', 'title,')}, {_FAMILY_SQL.replace('x,', 'source,')}))), '|') AS tags FROM t"""
 )
 def k2_domain_tags(spark, d):
-    low = F.lower("text")
-    return table(spark, d, "documents").where("text is not null").select("doc_id", low.rlike(r"\bsql\b").alias("has_sql"), low.rlike(r"\bpython\b").alias("has_python"))
+    """The domains that title and industry touch together."""
+    low = lambda c: F.lower(tx.collapse(tx.nfc(F.col(c))))
+    both = F.array_union(labels.families(low("job_title"), FAMILIES), labels.families(low("job_industry"), FAMILIES))
+    return table(spark, d, "source_rows").select("id", F.array_join(F.array_sort(both), "|").alias("tags"))
 
 
 # --- state -------------------------------------------------------------------------------------
@@ -783,13 +809,40 @@ def m_hourly_windows(spark, d):
     return table(spark, d, "events").groupBy("event_type", w.start.alias("hour")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
-def l1_listing_links(spark, d):
-    """Listing pages built from the postings of each board and crawl day, read back by pattern."""
+#: Listings of so many record numbers of one board make a page.
+_PER_PAGE = 40
+
+
+def _listings(spark, d):
+    """Listing pages of each board: the links of up to ``_PER_PAGE`` postings, each twice, and the next page."""
     e = table(spark, d, "probe_records").where("canonical_url is not null")
+    n = F.floor(F.col("probe_id") / _PER_PAGE)
     link = F.concat(F.lit('<a href="'), F.col("canonical_url"), F.lit('">x</a>'))
-    pages = e.select(F.col("probe_id").alias("page"), F.concat(F.lit("<html>"), link, link, F.lit("</html>")).alias("html"))
-    return html.listing(pages, "page", "html", r"-([0-9]+)$")
+    own = e.groupBy(F.concat_ws("/", "source_name", n).alias("page"), n.alias("n")).agg(F.array_sort(F.collect_list(F.struct("probe_id", F.concat(link, link).alias("h")))).alias("links"), F.count(F.lit(1)).alias("k"))
+    more = F.concat(F.lit('<a rel="next" href="/p/'), F.col("n") + 1, F.lit('">next</a> '), F.col("k"), F.lit(" việc làm"))
+    return own.select("page", F.concat(F.lit("<html>"), F.array_join(F.transform("links", lambda x: x.h), ""), more, F.lit("</html>")).alias("html"))
+
+
+_LISTED = f"""WITH p AS (SELECT concat_ws('/', source_name, probe_id // {_PER_PAGE}) AS page, probe_id // {_PER_PAGE} AS n, canonical_url AS url, regexp_extract(canonical_url, '-([0-9]+)$', 1) AS job_id,
+  2 * (row_number() OVER (PARTITION BY source_name, probe_id // {_PER_PAGE} ORDER BY probe_id) - 1) AS place FROM probe_records WHERE canonical_url IS NOT NULL)"""
+
+
+@query(_LISTED + " SELECT page, job_id, min(place) AS place, arg_min(url, place) AS url FROM p WHERE job_id <> '' GROUP BY 1, 2")
+def l1_listing_links(spark, d):
+    """The postings of every listing page, each id once at its first place."""
+    return html.listing(_listings(spark, d), "page", "html", r"-([0-9]+)$")
+
+
+@query(
+    _LISTED
+    + """, j AS (SELECT page, count(DISTINCT job_id) AS n_jobs, sha256('["' || array_to_string(list_sort(list(DISTINCT job_id)), '","') || '"]') AS fingerprint FROM p WHERE job_id <> '' GROUP BY 1)
+SELECT j.page, n_jobs, fingerprint, f.next_url, f.total FROM j JOIN (SELECT page, '/p/' || (n + 1) AS next_url, count(*) AS total FROM p GROUP BY page, n) f ON j.page = f.page"""
+)
+def l1_page_facts(spark, d):
+    """The next page, the stated number of hits and the fingerprint of every listing page."""
+    pages = _listings(spark, d)
+    facts = pages.select("page", html.page_facts(F.col("html")).alias("f")).select("page", "f.*")
+    return html.page_fingerprints(html.listing(pages, "page", "html", r"-([0-9]+)$"), "page").join(facts, "page")
 
 
 # --- further rules -----------------------------------------------------------------------------

@@ -142,6 +142,34 @@ def stream_content_changes(stream: DataFrame, key: str, at: str, content: str, t
     )
 
 
+class _Commits(StatefulProcessor):
+    """Keeps the fact of each key."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.known = handle.getValueState("known", StructType([StructField("fact", StringType())]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+        for batch in rows:
+            out = []
+            for fact in (batch := batch.sort_values("tie"))["fact"]:
+                old = self.known.get()[0] if self.known.exists() else None
+                out.append("new" if not self.known.exists() else "overlap" if old == fact else "conflict")
+                if not self.known.exists():
+                    self.known.update((fact,))
+            yield pd.DataFrame({"key": key[0], "tie": batch["tie"], "outcome": out})
+
+    def close(self) -> None:
+        pass
+
+
+def stream_commit(stream: DataFrame, key: str, fact: str, tie: str) -> DataFrame:
+    """``key, tie, outcome`` of a stream: new for the first row of a key, overlap for one that repeats
+    its fact, conflict for another fact. What was committed is never committed again, whatever the
+    stream delivers twice."""
+    named = stream.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("key"), F.col(fact).cast("string").alias("fact"), F.col(tie).cast("long").alias("tie"))
+    return named.groupBy("key").transformWithStateInPandas(statefulProcessor=_Commits(), outputStructType="key string, tie long, outcome string", outputMode="Append", timeMode="None")
+
+
 def stream_discovery(stream: DataFrame, key: str, at: str, batch: str, late: str = "1 day") -> DataFrame:
     """First and last seen and the number of batches of each key, as an updating aggregate."""
     once = stream.where(F.col(key).isNotNull()).withWatermark(at, late).dropDuplicatesWithinWatermark([key, batch])

@@ -177,6 +177,18 @@ def test_stream_equals_batch(spark, tmp_path):
     assert rows(got) == rows(seen.select("k", "first_seen", "seen_count"))
 
 
+def test_stream_commits_once(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", "x"), (2, "a", "x"), (3, "a", "y"), (4, "b", None), (5, "b", None), (6, None, "z")], "id long, k string, f string")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    for _ in range(2):  # the same rows arrive again after a restart
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+        q = state.stream_commit(stream, "k", "f", "id").writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        assert q.awaitTermination(120)
+    got = spark.read.parquet(str(tmp_path / "out")).groupBy("key", "outcome").count()
+    assert rows(got) == [("a", "conflict", 2), ("a", "new", 1), ("a", "overlap", 3), ("b", "new", 1), ("b", "overlap", 3)]
+
+
 def test_state_rules(spark):
     known = spark.createDataFrame([("a", "1"), ("b", "1")], "k string, f string")
     new = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "1"), ("d", "1"), ("d", "2"), (None, "1")], "k string, f string")
