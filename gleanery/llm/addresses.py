@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from gleanery.llm.canonical import Mapper
 from gleanery.llm.folding import fold
 from gleanery.llm.minhash import bands_for, edits, grams
-from gleanery.llm.names import BAND, candidate_pairs, respace, stars
+from gleanery.llm.names import BAND, candidate_pairs, respace, stars, word_edits
 from gleanery.session import cut, small
 
 # What opens the parts of an address, folded.
@@ -81,7 +81,7 @@ def align(a: Sequence[str], b: Sequence[str], opening: float = 1.0, extending: f
             return far
         if x in TYPES or y in TYPES:
             return 0.1 if x in TYPES and y in TYPES else 2.0
-        wrong = edits(x, y, 9)
+        wrong = word_edits(x, y, 9)
         return LETTER * wrong if 3 * wrong <= 2 * max(len(x), len(y)) else 1.0
 
     def gap(x: str, goes_on: bool) -> float:
@@ -110,7 +110,8 @@ def same_place(a: str, b: str, most: float = COST) -> float:
         return 0.0
     wa, wb = sa.split(), sb.split()
     cost = align(["so", na.lower(), *wa], ["so", nb.lower(), *wb])
-    if cost > 0 and len(wa) != len(wb):  # one of them may be glued
+    letters = int(most / LETTER)
+    if cost > 0 and len(wa) != len(wb) and edits("".join(wa), "".join(wb), letters) <= letters:  # one of them may be glued
         wa, wb = (respace(wa, wb), wb) if len(wa) < len(wb) else (wa, respace(wb, wa))
         cost = min(cost, align(["so", na.lower(), *wa], ["so", nb.lower(), *wb]))
     return 1 / (1 + cost) if cost <= most else 0.0

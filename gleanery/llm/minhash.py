@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 import numpy as np
 
@@ -28,10 +28,16 @@ class Banding:
         self.mix = rng.integers(1, 1 << 62, rows, dtype=np.uint64) | np.uint64(1)
 
     def keys(self, shingles: Iterable[str]) -> np.ndarray:
-        h = np.array([zlib.crc32(s.encode()) for s in shingles], np.uint64)
-        low = ((h[:, None] * self.a + self.b) % np.uint64(4294967291)).min(axis=0)
+        return self.keys_of([shingles])[0]
+
+    def keys_of(self, sets: Sequence[Iterable[str]]) -> np.ndarray:
+        """A row of keys for each set of shingles; no set may be empty."""
+        hashed = [[zlib.crc32(s.encode()) for s in x] for x in sets]
+        h = np.array([v for x in hashed for v in x], np.uint64)
+        starts = np.concatenate(([0], np.cumsum([len(x) for x in hashed])[:-1]))
+        low = np.minimum.reduceat((h[:, None] * self.a + self.b) % np.uint64(4294967291), starts, axis=0)
         with np.errstate(over="ignore"):
-            k = (low.reshape(self.bands, self.rows) * self.mix).sum(axis=1, dtype=np.uint64)
+            k = (low.reshape(len(hashed), self.bands, self.rows) * self.mix).sum(axis=2, dtype=np.uint64)
             k = (k ^ (np.arange(self.bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
         return k.view(np.int64)
 

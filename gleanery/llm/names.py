@@ -101,6 +101,10 @@ def _near(part: str) -> str:
     return next((_BUSINESS[alias] for alias in likely if edits(part, alias, 1) <= 1), "")
 
 
+#: Words are few and their pairs come again and again.
+word_edits = lru_cache(1 << 18)(edits)
+
+
 @lru_cache(1 << 18)
 def alike(a: str, b: str) -> float:
     """Edit similarity of two words."""
@@ -125,7 +129,7 @@ def respace(glued: Sequence[str], like: Sequence[str]) -> list[str]:
         nxt: dict[int, tuple[int, int]] = {}
         for at, (cost, _) in best[-1].items():
             for end in range(max(at, at + len(w) - 2), min(len(s), at + len(w) + 2) + 1):
-                c = cost + edits(s[at:end], w, 4)
+                c = cost + word_edits(s[at:end], w, 4)
                 if end not in nxt or c < nxt[end][0]:
                     nxt[end] = (c, at)
         best.append(nxt)
@@ -149,11 +153,17 @@ def in_order(a: Sequence[str], b: Sequence[str]) -> float:
 def same_proper(a: str, b: str, similarity: float = SIMILARITY, moved: float = MOVED) -> tuple[float, bool]:
     """(Monge-Elkan similarity of two proper parts, whether their words stand in another order).
 
-    Words are compared as they are spaced, or with one part spaced like the other. The similarity is
-    0 below ``similarity``, and below ``moved`` if the order differs.
+    Words are compared as they are spaced, or with one part spaced like the other where their letters
+    in order are as similar as that. The similarity is 0 below ``similarity``, and below ``moved`` if
+    the order differs.
     """
     wa, wb = a.split(), b.split()
-    forms = [(wa, wb)] + ([(respace(wa, wb), wb)] if len(wa) < len(wb) else [(wa, respace(wb, wa))] if len(wb) < len(wa) else [])
+    forms = [(wa, wb)]
+    if len(wa) != len(wb):
+        ga, gb = "".join(wa), "".join(wb)
+        most = int((1 - similarity + 0.05) * max(len(ga), len(gb)))
+        if edits(ga, gb, most) <= most:
+            forms.append((respace(wa, wb), wb) if len(wa) < len(wb) else (wa, respace(wb, wa)))
     s, x, y = max((monge_elkan(x, y), x, y) for x, y in forms)
     if s < similarity:
         return 0.0, False
@@ -172,8 +182,8 @@ def word_letters(proper: str) -> set[str]:
 
 
 #: The least Jaccard similarity of two sound spellings by letters is about 0.4 (two edits in twelve
-#: letters), that of reordered words with an error 0.7.
-BANDINGS = ((letters, bands_for(0.4, 0.92, 4), 4), (word_letters, bands_for(0.7, 0.95, 4), 4))
+#: letters), that of reordered words with an error in twelve letters 0.75.
+BANDINGS = ((letters, bands_for(0.4, 0.92, 4), 4), (word_letters, bands_for(0.75, 0.95, 8), 8))
 
 
 def candidate_pairs(keys: DataFrame, column: str, bandings: Sequence[tuple], block=None) -> DataFrame:
@@ -188,10 +198,13 @@ def candidate_pairs(keys: DataFrame, column: str, bandings: Sequence[tuple], blo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = [(shingler, Banding(bands, rows, seed)) for seed, (shingler, bands, rows) in enumerate(bandings, 7)]
         for batch in batches:
-            for start in range(0, batch.num_rows, 2000):
-                values = batch.column(0).slice(start, 2000)
-                ks = [np.concatenate([banding.keys(shingler(v)) for shingler, banding in made]) ^ (_token_hash(block(v)) if block else np.int64(0)) for v in values.to_pylist()]
-                yield pa.RecordBatch.from_arrays([values.take(pa.array(np.repeat(np.arange(len(ks)), each))), pa.array(np.concatenate(ks))], names=["v", "band"])
+            for start in range(0, batch.num_rows, 500):
+                values = batch.column(0).slice(start, 500)
+                texts = values.to_pylist()
+                ks = np.concatenate([banding.keys_of([shingler(v) for v in texts]) for shingler, banding in made], axis=1)
+                if block:
+                    ks ^= np.array([_token_hash(block(v)) for v in texts])[:, None]
+                yield pa.RecordBatch.from_arrays([values.take(pa.array(np.repeat(np.arange(len(texts)), each))), pa.array(ks.ravel())], names=["v", "band"])
 
     # Hashing and verifying cost far more than their bytes tell, so both get a fixed number of tasks.
     tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
