@@ -1,6 +1,9 @@
 import decimal
 import glob
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -48,9 +51,30 @@ def test_query_runs(spark, data, name):
     df.collect()
 
 
-def test_entry_works_without_the_llm_folder(spark, data):
+def test_entry(spark, data):
     import __spark_entry__ as e
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
     assert set(ALL) <= set(e.queries())
+
+
+def test_entry_works_without_the_llm_folder(tmp_path):
+    """A copy without both folders imports, and registers all other queries."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copytree(root, tmp_path / "r", ignore=shutil.ignore_patterns(".git", "llm", "__pycache__", "spark-warehouse", "*.parquet"))
+    code = "import __spark_entry__ as e; print(len(e.queries()), any('llm' in m for m in __import__('sys').modules if m.startswith('gleanery')))"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "r", env=env, capture_output=True, text=True, timeout=120)
+    assert out.stdout.split() == [str(len(ALL)), "False"], out.stderr
+
+
+def test_a_fault_inside_the_llm_folder_is_not_hidden(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copytree(root, tmp_path / "r", ignore=shutil.ignore_patterns(".git", "llm", "__pycache__", "spark-warehouse", "*.parquet"))
+    (tmp_path / "r/gleanery/llm").mkdir()
+    (tmp_path / "r/gleanery/llm/__init__.py").write_text("")
+    (tmp_path / "r/gleanery/llm/queries.py").write_text("import no_such_module\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", "import __spark_entry__"], cwd=tmp_path / "r", env=env, capture_output=True, text=True, timeout=120)
+    assert out.returncode and "no_such_module" in out.stderr
