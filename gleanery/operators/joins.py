@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.session import small
+
 
 def _keyed(df: DataFrame, key: str, columns: Sequence[str], side: str) -> DataFrame:
     return df.select(F.col(key).alias("__k"), *[F.col(c).alias(f"__{side}_{c}") for c in columns], F.lit(True).alias(f"__in_{side}"))
@@ -97,15 +99,25 @@ def append_and_replace(base: DataFrame, new: DataFrame, key: str, scope: str) ->
     return kept.unionByName(fresh.join(known, key, "left_anti"))
 
 
-def override(df: DataFrame, key: str, column: str, overrides: DataFrame) -> DataFrame:
+def override(df: DataFrame, key: str, column: str, overrides: DataFrame, evidence: str | None = None) -> DataFrame:
     """``df`` with ``column`` replaced where ``overrides(key, expected, value)`` names the row.
 
-    An override whose expected value no longer stands in the row is an error.
+    An override whose expected value no longer stands in the row is an error; with ``evidence``, the
+    name of a column, so is one whose ``evidence_sha256`` is not that column's hash any more. A key
+    that is overridden twice, or that stands in no row, is an error too (checked by ``override_faults``).
     """
-    joined = df.join(overrides.select(F.col(key).alias("__k"), F.col("expected").alias("__e"), F.col("value").alias("__v"), F.lit(True).alias("__hit")), F.col(key) == F.col("__k"), "left")
+    named = overrides.select(F.col(key).alias("__k"), F.col("expected").alias("__e"), F.col("value").alias("__v"), (F.col("evidence_sha256") if evidence else F.lit(None).cast("string")).alias("__h"), F.lit(True).alias("__hit"))
+    joined = df.join(small(named), F.col(key) == F.col("__k"), "left")
     stale = F.raise_error(F.concat(F.lit("override of a changed row: "), F.col("__k").cast("string"))).cast("string")
-    value = F.when(F.col("__hit").isNull(), F.col(column)).when(F.col("__e").eqNullSafe(F.col(column)), F.col("__v")).otherwise(stale)
-    return joined.withColumn(column, value).drop("__k", "__e", "__v", "__hit")
+    same = F.col("__e").eqNullSafe(F.col(column)) & (F.col("__h").eqNullSafe(F.sha2(F.col(evidence), 256)) if evidence else F.lit(True))
+    value = F.when(F.col("__hit").isNull(), F.col(column)).when(same, F.col("__v")).otherwise(stale)
+    return joined.withColumn(column, value).drop("__k", "__e", "__v", "__h", "__hit")
+
+
+def override_faults(df: DataFrame, key: str, overrides: DataFrame) -> DataFrame:
+    """``key, fault`` of overrides that cannot be applied: repeated, or of no row."""
+    twice = overrides.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key, F.lit("repeated").alias("fault"))
+    return twice.unionByName(overrides.select(key).distinct().join(df.select(key), key, "left_anti").withColumn("fault", F.lit("no_row")))
 
 
 def merge_reviews(auto: DataFrame, accepted: DataFrame, rejected: DataFrame) -> DataFrame:

@@ -343,3 +343,37 @@ def pairs(matched: DataFrame, key: str) -> DataFrame:
     """``key, code`` once per code that is required or preferred; texts under review give none."""
     e = matched.where("status = 'matched'").select(key, F.explode("evidence").alias("e"))
     return e.where(F.col("e.context").isin(*POSITIVE)).select(key, F.col("e.code").alias("code")).distinct()
+
+
+def with_parents(found: DataFrame, key: str, implied: Mapping[str, Sequence[str]]) -> DataFrame:
+    """``key, code, derived``: the pairs and those of the codes they imply, each once; a pair that was
+    found is not derived."""
+    spark = found.sparkSession
+    listed = spark.createDataFrame([(c, p) for c, ps in implied.items() for p in ps], "code string, parent string")
+    derived = found.join(F.broadcast(listed), "code").select(key, F.col("parent").alias("code"), F.lit(True).alias("derived"))  # as long as the taxonomy
+    return found.select(key, "code", F.lit(False).alias("derived")).unionByName(derived).groupBy(key, "code").agg(F.bool_and("derived").alias("derived"))
+
+
+def close_reviews(matched: DataFrame) -> DataFrame:
+    """``matched`` with its rows under review decided by keyword or skip: ambiguous evidence is left
+    out, what then remains positive counts as matched. Other rows are as they were."""
+    kept = F.filter("evidence", lambda e: e.context != "ambiguous")
+    positive = F.exists(kept, lambda e: e.context.isin(*POSITIVE))
+    review = F.col("status") == "needs_review"
+    return matched.select(
+        *[c for c in matched.columns if c not in ("status", "evidence")],
+        F.when(review, F.when(positive, "matched").otherwise("no_match")).otherwise(F.col("status")).alias("status"),
+        F.when(review, kept).otherwise(F.col("evidence")).alias("evidence"),
+        review.alias("closed"),
+    )
+
+
+def assess(df: DataFrame, text: str, quote: str, pattern: str) -> DataFrame:
+    """``df`` with ``verdict`` on a proposed quote: not_quoted (no part of the text), no_match (the
+    pattern is not in it), rejected (negated), unclear (negated and preferred at once) or accepted."""
+    q, t = F.col(quote), F.col(text)
+    no, better = q.rlike(f"(?iU){_NO}"), q.rlike(f"(?iU){_BETTER}")
+    verdict = (
+        F.when(~F.coalesce(F.contains(t, q) & (F.length(q) > 0), F.lit(False)), "not_quoted").when(~q.rlike(pattern), "no_match").when(no & better, "unclear").when(no, "rejected").otherwise("accepted")
+    )
+    return df.withColumn("verdict", verdict)

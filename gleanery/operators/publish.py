@@ -182,3 +182,15 @@ def read_back(live: DataFrame, staged: DataFrame, key: str, columns: Sequence[st
     repeated = live.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     rules = {"missing": state("missing"), "extra": state("extra"), "modified": state("modified"), "repeated": repeated}
     return constraints(rules | {f"orphans_{n}": orphans(df, k, live, key) for n, (df, k) in children.items()})
+
+
+def verify_lineage(spark: SparkSession, path: str) -> DataFrame:
+    """``path, n_rows, state`` of a published folder held against its manifest: verified, drifted or
+    no_manifest (never published)."""
+    text = _read(spark, f"{path}/_manifest.json")
+    if text is None:
+        return spark.createDataFrame([(path, None, "no_manifest")], "path string, n_rows long, state string")
+    manifest = json.loads(text)
+    held = digest(spark.read.parquet(path), manifest["columns"])
+    same = (F.col("n_rows") == manifest["n_rows"]) & (F.col("digest") == manifest["digest"])
+    return held.select(F.lit(path).alias("path"), "n_rows", F.when(same, "verified").otherwise("drifted").alias("state"))

@@ -29,10 +29,12 @@ def first_per_group(df: DataFrame, groups: Sequence[str], order: Sequence, k: in
     return bests.withColumn(place, F.row_number().over(outer)).where(F.col(place) <= k).drop("__salt", "__r")
 
 
-def hash_top(df: DataFrame, groups: Sequence[str], key: Column, k: int) -> DataFrame:
-    """The ``k`` rows of every group with the smallest SHA-256 of ``key``; equal keys count once."""
+def hash_top(df: DataFrame, groups: Sequence[str], key: Column, k: int, k_of: Column | None = None) -> DataFrame:
+    """The ``k`` rows of every group with the smallest SHA-256 of ``key``; equal keys count once.
+    ``k_of``: how many a group's rows say it has, at most ``k``."""
     scored = df.withColumn("score", F.sha2(key, 256)).dropDuplicates([*groups, "score"])
-    return first_per_group(scored, groups, ["score"], k)
+    best = first_per_group(scored, groups, ["score"], k)
+    return best if k_of is None else best.where(F.col("place") <= k_of)
 
 
 def stratified(df: DataFrame, stratum: str, turn: str, key: Column, k: int) -> DataFrame:

@@ -8,11 +8,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gleanery.functions import text as tx
-from gleanery.operators import claims, grammar, identity, joins, labels, pay, places, publish, sampling
-from gleanery.operators.packed_values import split_packed
+from gleanery.operators import claims, grammar, joins, labels, matching, pay, places, publish
 from gleanery.session import shared_dir, small, table
 from gleanery.sources import contracts, html, tables
 from gleanery.streaming import state
@@ -563,3 +561,49 @@ def m7_change_counters(spark, d):
     """Per board: how many records are new, unchanged and changed, and how many lack a field."""
     e = table(spark, d, "probe_records").withColumn("key", F.struct("source_name", "source_job_id"))
     return state.change_counters(state.content_changes(e, "key", "crawled_at", "content_hash", "probe_id"), "source_name", ("salary_raw", "location_raw"))
+
+
+# --- reviews -----------------------------------------------------------------------------------
+
+
+@query("SELECT 'verified' AS state, (SELECT count(*) FROM jobs) AS n_rows")
+def x3_lineage(spark, d):
+    """A published folder held against its manifest."""
+    path = _fresh(spark, "lineage")
+    publish.stage_and_verify(table(spark, d, "jobs").select("id", "job_title"), path, ["id", "job_title"])
+    return publish.verify_lineage(spark, path).select("state", "n_rows")
+
+
+_CLAUSE = "'[^.;\\n]*(?:python|sql)[^.;\\n]*'"
+_NO_SQL = r"không\s+(?:yêu cầu|cần|đòi hỏi|bắt buộc)|chưa\s+(?:biết|có kinh nghiệm)|(?:not|isn''t|aren''t)\s+(?:required|mandatory|necessary)|no need"
+_BETTER_SQL = r"ưu tiên|lợi thế|điểm cộng|ưu thế|preferred|nice[ -]to[ -]have|\bplus\b|advantage|bonus"
+
+
+@query(
+    f"""WITH q AS (SELECT doc_id, text, nullif(trim(regexp_extract(lower(text), {_CLAUSE})), '') AS quote FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, CASE WHEN quote IS NULL OR NOT contains(lower(text), quote) THEN 'not_quoted' WHEN NOT regexp_matches(quote, '(^|[^\\p{{L}}\\p{{N}}_])sql($|[^\\p{{L}}\\p{{N}}_])') THEN 'no_match'
+  WHEN regexp_matches(quote, '{_NO_SQL}') AND regexp_matches(quote, '{_BETTER_SQL}') THEN 'unclear' WHEN regexp_matches(quote, '{_NO_SQL}') THEN 'rejected' ELSE 'accepted' END AS verdict FROM q"""
+)
+def k11_proposals(spark, d):
+    """Clauses proposed as evidence of SQL, assessed against their documents."""
+    low = table(spark, d, "documents").where("text is not null").select("doc_id", F.lower("text").alias("text"))
+    quoted = low.withColumn("quote", F.nullif(F.trim(F.regexp_extract("text", r"[^.;\n]*(?:python|sql)[^.;\n]*", 0)), F.lit("")))
+    return matching.assess(quoted, "text", "quote", r"(?U)\bsql\b").select("doc_id", "verdict")
+
+
+@query()
+def k10_derived_parents(spark, d):
+    """Skills of every document with those they imply."""
+    from gleanery.plans.reference import IMPLIED, SKILLS
+
+    found = matching.pairs(matching.match_texts(table(spark, d, "documents"), "doc_id", "text", SKILLS, IMPLIED), "doc_id")
+    return matching.with_parents(found, "doc_id", IMPLIED)
+
+
+@query()
+def j10_closed_reviews(spark, d):
+    """Documents by status before and after their reviews are closed."""
+    from gleanery.plans.reference import IMPLIED, SKILLS
+
+    matched = matching.match_texts(table(spark, d, "documents"), "doc_id", "text", SKILLS, IMPLIED).withColumn("before", F.col("status"))
+    return matching.close_reviews(matched).groupBy("before", "status", "closed").agg(F.count(F.lit(1)).alias("n"))

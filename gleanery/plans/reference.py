@@ -522,12 +522,19 @@ def f8_disagreements(spark, d):
 # --- aggregates --------------------------------------------------------------------------------
 
 
+_METRICS = {
+    "status": "status", "currency": "currency", "kind": "kind", "period": "period", "component": "component", "reason": "reason", "min_inclusive": "CAST(min_inclusive AS {t})", "max_inclusive": "CAST(max_inclusive AS {t})",
+    "numeric_eligible": "CAST(salary_numeric_eligible AS {t})", "midpoint_eligible": "CAST(salary_midpoint_eligible AS {t})", "selected": "CAST(analysis_selected AS {t})", "stated": "CASE WHEN salary IS NULL THEN 'null' WHEN trim(salary) = '' THEN 'blank' ELSE 'text' END",
+}
+
+
 @query(
-    """WITH m AS (SELECT year, 'status' AS metric, status AS value, count(*) AS n FROM salary_audit GROUP BY year, status UNION ALL SELECT year, 'currency', currency, count(*) FROM salary_audit GROUP BY year, currency)
-SELECT *, 'each' AS level FROM m UNION ALL SELECT NULL, metric, value, sum(n), 'all' FROM m GROUP BY metric, value"""
+    "WITH m AS (" + " UNION ALL ".join(f"SELECT year, '{k}' AS metric, {v.format(t='VARCHAR')} AS value, count(*) AS n FROM salary_audit GROUP BY year, {v.format(t='VARCHAR')}" for k, v in _METRICS.items())
+    + ") SELECT *, 'each' AS level FROM m UNION ALL SELECT NULL, metric, value, sum(n), 'all' FROM m GROUP BY metric, value"
 )
 def g1_quality_counters(spark, d):
-    return aggregates.counters(table(spark, d, "salary_audit"), "year", {"status": F.col("status"), "currency": F.col("currency")})
+    """Twelve metrics of the audit, counted per year and in all."""
+    return aggregates.counters(table(spark, d, "salary_audit"), "year", {k: F.expr(v.format(t="STRING")) for k, v in _METRICS.items()})
 
 
 @query(
@@ -601,12 +608,12 @@ def g12_weighted_score(spark, d):
 
 @query(
     """WITH s AS (SELECT doc_id, doc_section, CASE WHEN CAST(('0x' || substr(sha256(CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) % 5 = 0 THEN 'holdout' ELSE 'train' END AS split, sha256(doc_id || ':a') AS score FROM documents),
-  r AS (SELECT *, row_number() OVER (PARTITION BY split, doc_section ORDER BY score) AS place FROM s) SELECT split, doc_section, place, doc_id FROM r WHERE place <= 20"""
+  r AS (SELECT *, row_number() OVER (PARTITION BY split, doc_section ORDER BY score) AS place FROM s) SELECT split, doc_section, place, doc_id FROM r WHERE place <= CASE WHEN split = 'holdout' THEN 200 ELSE 20 END"""
 )
 def h1_hash_top(spark, d):
     key = F.col("doc_id").cast("string")
     split = table(spark, d, "documents").select("doc_id", "doc_section", sampling.split_of(F.sha2(key, 256)).alias("split"))
-    return sampling.hash_top(split, ["split", "doc_section"], F.concat(key, F.lit(":a")), 20).select("split", "doc_section", "place", "doc_id")
+    return sampling.hash_top(split, ["split", "doc_section"], F.concat(key, F.lit(":a")), 200, F.when(F.col("split") == "holdout", 200).otherwise(20)).select("split", "doc_section", "place", "doc_id")
 
 
 @query("SELECT status, place, id FROM (SELECT status, id, row_number() OVER (PARTITION BY status ORDER BY id) AS place FROM salary_audit) WHERE place <= 5")
@@ -850,9 +857,10 @@ def l1_page_facts(spark, d):
 
 @query("SELECT a.id, CASE WHEN o.id IS NULL THEN a.salary ELSE 'override:' || o.salary END AS salary FROM salary_audit a LEFT JOIN (SELECT id, salary FROM salary_audit WHERE currency = '$') o ON a.id = o.id")
 def d7_keyed_override(spark, d):
-    a = table(spark, d, "salary_audit").select("id", "salary")
-    o = table(spark, d, "salary_audit").where("currency = '$'").select("id", F.col("salary").alias("expected"), F.concat(F.lit("override:"), "salary").alias("value"))
-    return joins.override(a, "id", "salary", o)
+    """Pay in dollar signs overridden by key, each override guarded by the text it was made for and a hash of its record key."""
+    a = table(spark, d, "salary_audit").select("id", "salary", "record_key", "currency")
+    o = a.where("currency = '$'").select("id", F.col("salary").alias("expected"), F.concat(F.lit("override:"), "salary").alias("value"), F.sha2("record_key", 256).alias("evidence_sha256"))
+    return joins.override(a, "id", "salary", o, "record_key").select("id", "salary")
 
 
 @query(

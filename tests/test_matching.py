@@ -80,3 +80,17 @@ def test_rows(spark):
     assert clause_rows(df.limit(0), "id", "t").collect() == [] and match_texts(df, "id", "t", []).where("status = 'no_match'").count() == 2
     long = spark.createDataFrame([(1, "cần Python, " * 20_000)], "id long, t string")
     assert match_texts(long, "id", "t", TOOLS).selectExpr("size(evidence) as n").first().n == 20_000
+
+
+def test_reviews_parents_and_proposals(spark):
+    from gleanery.operators.matching import assess, close_reviews, with_parents
+
+    texts = [(1, "cần SQL; không cần SQL. Cần Python"), (2, "cần SQL; không cần SQL"), (3, "Python"), (4, None)]
+    matched = match_texts(spark.createDataFrame(texts, "id long, t string"), "id", "t", TOOLS)
+    got = {r.id: r for r in close_reviews(matched).collect()}
+    assert {k: (r.status, r.closed) for k, r in got.items()} == {1: ("matched", True), 2: ("no_match", True), 3: ("matched", False), 4: ("missing", False)}
+    assert [e.code for e in got[1].evidence] == ["python"]
+    found = spark.createDataFrame([(1, "sql_server"), (2, "sql"), (2, "sql_server")], "id long, code string")
+    assert sorted(map(tuple, with_parents(found, "id", {"sql_server": ("sql",)}).collect())) == [(1, "sql", True), (1, "sql_server", False), (2, "sql", False), (2, "sql_server", False)]
+    df = spark.createDataFrame([("biết sql", "sql"), ("biết sql", "python"), ("biết c", "c"), ("không cần sql", "không cần sql"), ("ưu tiên sql, không cần sql", "ưu tiên sql, không cần sql"), (None, "x"), ("a", None), ("a", "")], "t string, q string")
+    assert [r.verdict for r in assess(df, "t", "q", "sql").collect()] == ["accepted", "not_quoted", "no_match", "rejected", "unclear", "not_quoted", "not_quoted", "not_quoted"]

@@ -230,3 +230,15 @@ def test_roll_up_follows_long_chains_and_finds_cycles(spark):
         with pytest.raises(ValueError):
             labels.roll_up(spark, spark.createDataFrame(bad, "child string, parent string"))
     assert labels.roll_up(spark, chain.limit(0)).collect() == []
+
+
+def test_overrides_are_guarded(spark):
+    df = spark.createDataFrame([(1, "a", "e"), (2, None, "f"), (3, "c", None)], "k int, v string, ev string")
+    sha = lambda c: F.sha2(F.col(c), 256)
+    one = lambda k, old, new, ev: spark.createDataFrame([(k, old, new, ev)], "k int, expected string, value string, ev string").withColumn("evidence_sha256", sha("ev"))
+    assert rows(joins.override(df, "k", "v", one(2, None, "x", "f"), "ev").select("k", "v")) == [(1, "a"), (2, "x"), (3, "c")]
+    for bad in (one(1, "b", "x", "e"), one(1, "a", "x", "other")):
+        with pytest.raises(Exception, match="override of a changed row: 1"):
+            joins.override(df, "k", "v", bad, "ev").collect()
+    twice = one(1, "a", "x", "e").union(one(1, "a", "y", "e")).union(one(9, "a", "y", "e"))
+    assert rows(joins.override_faults(df, "k", twice)) == [(1, "repeated"), (9, "no_row")]
