@@ -268,11 +268,25 @@ class Restorer:
         return True, whole, "".join(out), max(sorted(set(names)), key=names.count)
 
 
-def known_runs(docs: DataFrame, text: str) -> DataFrame:
+def known_runs(docs: DataFrame, text: str, classifier: Classifier) -> DataFrame:
     """``run, n``: how often the letter runs stand in clean sentences of the documents that some
-    word readable in the single-byte Vietnamese encoding holds, as written or restored."""
+    word holds, as written or restored, which the classifier takes for the single-byte Vietnamese
+    encoding. Only of such words is it asked whether they are known, so the garbled vocabulary
+    bounds the result and not the whole one."""
+    shared = docs.sparkSession.sparkContext.broadcast(classifier)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        at = model.names.index("tcvn3")
+
+        @lru_cache(1 << 17)
+        def asks(word: str) -> tuple[str, ...]:
+            got = _legacy(word)
+            if got is None:
+                return ()
+            s = model.scores(word)
+            return (*_runs(word), *_runs(got)) if s[at] - s[0] >= SURE else ()
+
         for batch in batches:
             stood, wanted, clean = Counter(), set(), Counter()
             for t in batch.column(0).to_pylist():
@@ -282,7 +296,7 @@ def known_runs(docs: DataFrame, text: str) -> DataFrame:
             for w, n in stood.items():
                 for r in _runs(w):
                     clean[r] += n
-            asked = {r for w in wanted if (got := _legacy(w)) for x in (w, got) for r in _runs(x)}
+            asked = {r for w in wanted for r in asks(w)}
             runs = list(clean.keys() | asked)
             yield pa.RecordBatch.from_arrays([pa.array(runs, pa.string()), pa.array([clean[r] for r in runs], pa.int64()), pa.array([r in asked for r in runs], pa.bool_())], names=["run", "n", "asked"])
 
@@ -296,8 +310,8 @@ def train_on(docs: DataFrame, key: str, text: str, most: int = TRAIN_DOCUMENTS)
     held = docs.where(F.col(text).isNotNull())
     step = max(1, held.count() // most)
     rows = held.where(F.pmod(F.xxhash64(key), F.lit(step)) == 0).select(text).limit(most).collect()
-    # A share of the vocabulary, which grows far more slowly than the documents.
-    return replace(train([r[text] for r in rows]), lexicon={r.run: r.n for r in known_runs(docs, text).collect()})
+    model = replace(train([r[text] for r in rows]), lexicon={})
+    return replace(model, lexicon={r.run: r.n for r in known_runs(docs, text, model).collect()})
 
 
 def restore_documents(docs: DataFrame, key: str, text: str, classifier: Classifier | None = None) -> DataFrame:
