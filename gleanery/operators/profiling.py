@@ -54,3 +54,16 @@ def key_checks(df: DataFrame, key: str) -> DataFrame:
         F.min(key).alias("least"),
         F.max(key).alias("greatest"),
     )
+
+
+def json_shapes(df: DataFrame, column: str) -> DataFrame:
+    """``field, type, n, distinct_values`` of the top-level fields of a JSON column, with a row each for
+    texts that are null (``<null>``), no JSON (``<broken>``) or no object (``<other>``)."""
+    c = F.col(column)
+    parsed = df.select(c.alias("__t"), F.try_parse_json(c).alias("__v"))
+    kind = F.schema_of_variant("__v")
+    void = F.when(F.col("__t").isNull(), "<null>").when(F.col("__v").isNull(), "<broken>").when(~kind.startswith("OBJECT"), "<other>")
+    odd = parsed.select(void.alias("field")).where("field is not null").groupBy("field").agg(F.count(F.lit(1)).alias("n")).select("field", F.lit(None).cast("string").alias("type"), "n", F.lit(None).cast("long").alias("distinct_values"))
+    objects = parsed.where(F.col("__v").isNotNull() & kind.startswith("OBJECT")).select("__v")
+    fields = objects.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("__v").outer())).select(F.col("key").alias("field"), F.schema_of_variant("value").alias("type"), F.to_json("value").alias("value"))
+    return fields.groupBy("field", "type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("value").alias("distinct_values")).unionByName(odd)

@@ -190,14 +190,12 @@ def b9_review_sample(spark, d):
 
 
 @query(
-    "SELECT event_type, count(*) AS n, sum(CASE WHEN props IS NULL THEN 1 ELSE 0 END) AS absent, count(json_extract_string(props, '$.k')) AS with_k, "
-    "count(DISTINCT json_extract_string(props, '$.k')) AS distinct_k FROM events GROUP BY 1"
+    "SELECT field, CASE t WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'VARCHAR' THEN 'STRING' ELSE t END AS type, count(*) AS n, count(DISTINCT v) AS distinct_values FROM (SELECT k AS field, json_type(props, '$.' || k) AS t, CAST(json_extract(props, '$.' || k) AS VARCHAR) AS v "
+    "FROM (SELECT props, unnest(json_keys(props)) AS k FROM events WHERE props IS NOT NULL)) GROUP BY 1, 2 UNION ALL SELECT '<null>', NULL, count(*), NULL FROM events WHERE props IS NULL HAVING count(*) > 0"
 )
 def b10_json_shapes(spark, d):
-    k = F.get_json_object("props", "$.k")
-    return table(spark, d, "events").groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("props").isNull()).alias("absent"), F.count(k).alias("with_k"), F.count_distinct(k).alias("distinct_k")
-    )
+    """The fields of the events' properties with their types."""
+    return profiling.json_shapes(table(spark, d, "events"), "props")
 
 
 _SHAPE = f"""CASE WHEN coalesce(t, '') = '' THEN 'missing' WHEN regexp_matches(t, 'thỏa thuận|thoả thuận|cạnh tranh|negotiable|năng lực') THEN 'negotiable'
@@ -351,10 +349,18 @@ def c11_canonical_url(spark, d):
     return table(spark, d, "probe_records").select("probe_id", tx.canonical_url(F.col("canonical_url")).alias("url"))
 
 
-@query(r"SELECT probe_id, regexp_extract(canonical_url, '-([0-9]+)/?$', 1) AS job_id, regexp_extract(canonical_url, '-([0-9]+)/?$', 1) = source_job_id AS agrees FROM probe_records")
+# Where each board keeps the id in its addresses.
+ID_PATTERNS = {"timtho.example": r"-([0-9]+)/?$", "viecmoi.example": r"/viec/.*-([0-9]+)/?$", "nghechuan.example": r"-([0-9]{3,})/?$"}
+
+
+@query(
+    "SELECT probe_id, id AS job_id, coalesce(id = source_job_id, false) AS agrees FROM (SELECT probe_id, source_job_id, nullif(CASE WHEN regexp_matches(lower(canonical_url), '^https?://([^/]*[.])?timtho[.]example(/|$)') THEN regexp_extract(canonical_url, '-([0-9]+)/?$', 1) "
+    "WHEN regexp_matches(lower(canonical_url), '^https?://([^/]*[.])?viecmoi[.]example(/|$)') THEN regexp_extract(canonical_url, '/viec/.*-([0-9]+)/?$', 1) WHEN regexp_matches(lower(canonical_url), '^https?://([^/]*[.])?nghechuan[.]example(/|$)') THEN regexp_extract(canonical_url, '-([0-9]{3,})/?$', 1) END, '') AS id FROM probe_records)"
+)
 def c12_id_from_url(spark, d):
-    job = F.regexp_extract("canonical_url", r"-([0-9]+)/?$", 1)
-    return table(spark, d, "probe_records").select("probe_id", job.alias("job_id"), (job == F.col("source_job_id")).alias("agrees"))
+    """The posting's id out of its address by the pattern of each board; other boards give none."""
+    job = tx.id_by_host(F.col("canonical_url"), ID_PATTERNS)
+    return table(spark, d, "probe_records").select("probe_id", job.alias("job_id"), F.coalesce(job == F.col("source_job_id"), F.lit(False)).alias("agrees"))
 
 
 @query(

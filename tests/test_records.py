@@ -95,3 +95,14 @@ def test_latest_rows_are_filtered_in_the_scan(spark, tmp_path):
     spark.createDataFrame([(1, 1), (2, 3), (3, 3)], "id int, load int").write.parquet(str(tmp_path / "x"))
     df = tables.latest_rows(spark.read.parquet(str(tmp_path / "x")), "load")
     assert sorted(r.id for r in df.collect()) == [2, 3] and "PushedFilters: [IsNotNull(load), EqualTo(load,3)]" in df._jdf.queryExecution().toString()
+
+
+def test_json_shapes_and_ids_by_host(spark):
+    from gleanery.functions.text import id_by_host
+    from gleanery.operators.profiling import json_shapes
+
+    df = spark.createDataFrame([('{"a": 1, "b": "x"}',), ('{"a": "1"}',), ('{"a": [1]}',), ("{}",), ("[1]",), ("{torn",), (None,)], "j string")
+    got = sorted((r.field, r.type, r.n) for r in json_shapes(df, "j").collect() if r.field)
+    assert [(f, n) for f, _, n in got] == [("<broken>", 1), ("<null>", 1), ("<other>", 1), ("a", 1), ("a", 1), ("a", 1), ("b", 1)] and {t for f, t, _ in got if f == "a"} == {"BIGINT", "STRING", "ARRAY<BIGINT>"}
+    urls = spark.createDataFrame([("https://w.a.example/x-12/",), ("https://a.example/x",), ("https://b.example/x-12",), (None,), ("::",)], "u string")
+    assert [r[0] for r in urls.select(id_by_host(F.col("u"), {"a.example": r"-([0-9]+)/?$"})).collect()] == ["12", None, None, None, None]
