@@ -954,7 +954,7 @@ def j9_quoted_evidence(spark, d):
     return e.select("probe_id", F.coalesce(F.contains("detailed_work_address", "company_address"), F.lit(False)).alias("quoted"))
 
 
-@query()
+@query("SELECT event_type, date_trunc('hour', ts) AS window_start, count(*) AS n FROM events GROUP BY 1, 2")
 def m_stream_windows(spark, d):
     """The hourly windows of the event stream, run to its end, those still open included."""
     name, folder = f"windows_{uuid.uuid4().hex}", f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
@@ -967,4 +967,4 @@ def m_stream_windows(spark, d):
     q = state.stream_windows(stream, "ts", "event_type").writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
     kept = spark.read.schema("window_start timestamp, event_type string, n long, batch long").parquet(f"{folder}/{name}")
-    return kept.groupBy("window_start", "event_type").agg(F.max_by("n", "batch").alias("n"))
+    return kept.groupBy(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type").agg(F.max_by("n", "batch").alias("n"))
