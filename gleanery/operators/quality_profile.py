@@ -372,8 +372,11 @@ def expression_coverage(df: DataFrame, load: str, columns: Sequence[str]) -> Dat
     texts = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*").withColumn("example", F.xxhash64("value")).where("value is not null")
     texts = texts.join(small(asked, BROADCAST_NODES), ["col", "example"], "left_semi").groupBy("col", "example").agg(F.min("value").alias("value"))
     write = F.pandas_udf(lambda level, value: pd.Series([expression(l, v) if v is not None else "" for l, v in zip(level, value)]), "string")
-    found = _beside(covered).join(texts, ["col", "example"], "left")
-    return found.select("load", _name(columns), "level", write("level", "value").alias("expression"), "rows", "share", "other_share")
+    # Written once for each expression, whatever the number of its loads.
+    levels = covered.where("example is not null").select("col", "level", "example").distinct()
+    written = levels.join(texts, ["col", "example"]).select("col", "level", "example", write("level", "value").alias("expression"))
+    found = _beside(covered).join(written, ["col", "level", "example"], "left")
+    return found.select("load", _name(columns), "level", F.coalesce("expression", F.lit("")).alias("expression"), "rows", "share", "other_share")
 
 
 def _name(columns: Sequence[str]) -> Column:
